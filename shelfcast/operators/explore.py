@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations, combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from shelfcast.operators.prepare import numeric_columns
 from shelfcast.operators.quantiles import long_form, quantiles
 
+NO_SPREAD = 1e-12  # share of the second moment below which a column counts as constant
+
 
 def mean_sales(df: DataFrame, *keys: str) -> DataFrame:
     """Mean sales per key; rows with a null key are left out."""
@@ -93,19 +95,38 @@ def skewness(df: DataFrame, columns: list[str]) -> DataFrame:
     return long_form(df, columns).groupBy("column").agg(F.when(n > 2, corrected).alias("skew"))
 
 
-def pearson(a: str, b: str) -> Column:
-    """Correlation over the rows where both columns are known; null if either does not vary."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
-    return F.try_divide(F.covar_pop(x, y), spread)
-
-
 def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(a, b, corr) of every ordered pair of numeric columns. All pairs come from one pass."""
+    """(a, b, corr): Pearson correlation of every ordered pair of numeric columns over the rows
+    where both are known; null where one of them does not vary.
+
+    Rows are summed per combination of missing columns, so each product is added up once for
+    all pairs; combinations are then added up per pair. Values are taken from the column's
+    mean, which keeps the sums small.
+    """
     columns = columns or numeric_columns(df)
-    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), pearson(a, b).alias("corr")) for a, b in combinations(columns, 2)]
-    upper = df.agg(F.array(*pairs).alias("p")).select(F.inline("p"))
+    means = df.agg(F.struct(*[F.avg(F.col(c).cast("double")).alias(c) for c in columns]).alias("m")).scalar()
+    centred = df.select(*columns).withColumn("_means", means).select(
+        *[(F.col(c).cast("double") - F.col("_means")[c]).alias(c) for c in columns]
+    )
+    optional = [f.name for f in df.select(*columns).schema.fields if f.nullable]
+    known = {c: f"not `_no_{c}`" if c in optional else "true" for c in columns}
+    sums = centred.groupBy(*[F.col(c).isNull().alias(f"_no_{c}") for c in optional]).agg(
+        F.count("*").alias("n"),
+        *[F.expr(f"sum(`{c}`) as `s_{c}`") for c in columns],
+        *[F.expr(f"sum(`{a}` * `{b}`) as `p_{a}_{b}`") for a, b in combinations_with_replacement(columns, 2)],
+    )
+    pairs = F.expr("array(" + ", ".join(
+        f"named_struct('a', '{a}', 'b', '{b}', 'known', {known[a]} and {known[b]}, 'n', n, 'sa', `s_{a}`, 'sb', `s_{b}`,"
+        f" 'saa', `p_{a}_{a}`, 'sbb', `p_{b}_{b}`, 'sab', `p_{a}_{b}`)"
+        for a, b in combinations(columns, 2)
+    ) + ")")
+    parts = ("n", "sa", "sb", "saa", "sbb", "sab")
+    n, sa, sb, saa, sbb, sab = (F.col(c) for c in parts)
+    va, vb = saa - sa * sa / n, sbb - sb * sb / n
+    varies = (va > NO_SPREAD * saa) & (vb > NO_SPREAD * sbb)
+    corr = F.when(varies, (sab - sa * sb / n) / F.sqrt(va) / F.sqrt(vb))
+    added = sums.select(F.inline(pairs)).groupBy("a", "b").agg(*[F.sum(F.when(F.col("known"), F.col(c))).alias(c) for c in parts])
+    upper = added.select("a", "b", corr.alias("corr"))
     both = F.array(F.struct("a", "b", "corr"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("corr")))
     return upper.select(F.inline(both))
 
@@ -113,8 +134,8 @@ def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def correlation_with(df: DataFrame, target: str = "Sales", columns: list[str] | None = None) -> DataFrame:
     """Each other numeric column's correlation with the target, strongest first."""
     columns = [c for c in (columns or numeric_columns(df)) if c != target]
-    out = per_column(df, {c: {"corr": pearson(c, target)} for c in columns})
-    return out.orderBy(F.desc_nulls_last("corr"), "column")
+    pairs = correlations(df, [target, *columns]).where(F.col("a") == target)
+    return pairs.select(F.col("b").alias("column"), "corr").orderBy(F.desc_nulls_last("corr"), "column")
 
 
 def zero_share(df: DataFrame, column: str = "Sales") -> DataFrame:

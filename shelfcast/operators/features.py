@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
@@ -71,6 +72,20 @@ def projection(medians, means, deviations, common, categories) -> str:
     return f"SELECT {', '.join(parts)} FROM __THIS__"
 
 
+def _numeric_statistics(train: DataFrame, numeric: list[str]) -> tuple[dict, dict, dict]:
+    if not numeric:
+        return {}, {}, {}
+    medians = {r["column"]: float(r["median"]) for r in medians_of(train, numeric).collect()}
+    missing = [c for c in numeric if c not in medians]
+    if missing:
+        raise ValueError(f"no known value in {missing}")
+    medians = {c: medians[c] for c in numeric}
+    scales = {r["column"]: r for r in scales_of(train, medians).collect()}
+    means = {c: float(scales[c]["mean"]) for c in numeric}
+    deviations = {c: float(scales[c]["deviation"]) for c in numeric}
+    return medians, means, deviations
+
+
 def fit(
     train: DataFrame,
     numeric: list[str] | None = None,
@@ -80,16 +95,14 @@ def fit(
     """Statistics of the training rows only. An unknown category later becomes all zeros."""
     numeric = NUMERIC_FEATURES if numeric is None else numeric
     categorical = CATEGORICAL_FEATURES if categorical is None else categorical
-    medians = {r["column"]: float(r["median"]) for r in medians_of(train, numeric).collect()}
-    missing = [c for c in numeric if c not in medians]
-    if missing:
-        raise ValueError(f"no known value in {missing}")
-    medians = {c: medians[c] for c in numeric}
-    scales = {r["column"]: r for r in scales_of(train, medians).collect()}
-    means = {c: float(scales[c]["mean"]) for c in numeric}
-    deviations = {c: float(scales[c]["deviation"]) for c in numeric}
-    common = {r["column"]: r["value"] for r in modes(train, categorical).collect()} if categorical else {}
-    categories = categories_of(train, {c: common[c] for c in categorical}) if categorical else {}
+    # Several passes over a few columns: keep those instead of rebuilding the features each time.
+    held = train.select(*numeric, *categorical).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        medians, means, deviations = _numeric_statistics(held, numeric)
+        common = {r["column"]: r["value"] for r in modes(held, categorical).collect()} if categorical else {}
+        categories = categories_of(held, {c: common[c] for c in categorical}) if categorical else {}
+    finally:
+        held.unpersist()
     names = [f"scaled_{c}" for c in numeric] + [f"{c}_{v}" for c, values in categories.items() for v in values]
     model = PipelineModel([
         SQLTransformer(statement=projection(medians, means, deviations, common, categories)),

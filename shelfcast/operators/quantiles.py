@@ -1,17 +1,16 @@
-"""Exact order statistics without sorting a whole column in one task.
-
-Values are counted first, so copies cost nothing. Approximate quantiles of the distinct
-values then cut each column into ranges of about equal size; running counts inside the
-ranges are computed in parallel and shifted by the counts of the ranges before.
-"""
+"""Exact order statistics without sorting, or holding, a whole column in one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-SIDE = 16  # SIDE * SIDE ranges per group
+ACCURACY = 20_000  # a sketch quantile is at most n / ACCURACY rows off
+SLACK = 3 / ACCURACY
+RANGES = 256       # pieces a column is cut into for running counts; a power of two
 
 
 def long_form(df: DataFrame, columns: list[str], ids: list[str] | None = None, kind: str = "double") -> DataFrame:
@@ -21,32 +20,90 @@ def long_form(df: DataFrame, columns: list[str], ids: list[str] | None = None, k
     return narrow.unpivot(ids, columns, "column", "value").where(F.col("value").isNotNull())
 
 
-def value_counts_of(long: DataFrame, by: list[str]) -> DataFrame:
-    return long.groupBy(*by, "value").agg(F.count("*").alias("rows"))
+def quantile_name(probability: float) -> str:
+    return "q" + f"{probability * 100:g}".replace(".", "_")
+
+
+def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
+    """One row per column with ``q25``, ``q50``, ...: linear interpolation, nulls skipped.
+
+    A mergeable sketch first gives two values that enclose each wanted position. A second pass
+    counts what lies below, inside and above; only the few distinct values inside are kept one
+    by one, so the ordered step sees a sliver of the column. Both passes fold rows before the
+    shuffle, copies of one value included.
+    """
+    long = long_form(df, columns)
+    bounds = [b for p in probabilities for b in (max(0.0, p - SLACK), min(1.0, p + SLACK))]
+    sketch = long.groupBy("column").agg(
+        F.count("*").alias("n"), F.percentile_approx("value", bounds, ACCURACY).alias("bounds")
+    )
+    wanted = F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), F.col("bounds")[2 * i].alias("low"), F.col("bounds")[2 * i + 1].alias("high"))
+        for i, p in enumerate(probabilities)
+    ])
+    targets = sketch.select("column", "n", F.inline(wanted))
+    zone = F.when(F.col("value") < F.col("low"), -1).when(F.col("value") > F.col("high"), 1).otherwise(0)
+    # One row per column and probability: safe to broadcast whatever the data size.
+    counted = (
+        long.join(F.broadcast(targets), "column").withColumn("zone", zone)
+        .groupBy("column", "i", "p", "n", "zone", F.when(F.col("zone") == 0, F.col("value")).alias("inside"))
+        .agg(F.count("*").alias("rows"), F.max("value").alias("largest"), F.min("value").alias("smallest"))
+    )
+    nearest = F.when(F.col("zone") == -1, F.col("largest")).otherwise(F.col("smallest"))
+    upto = W.partitionBy("column", "i").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    seen = counted.withColumn("value", nearest).withColumn("seen", F.sum("rows").over(upto))
+
+    def at(rank):
+        """Value at a 0-based rank. Below and above, only the nearest value is known."""
+        known = (
+            (F.col("zone") == 0)
+            | ((F.col("zone") == -1) & (rank == F.col("seen") - 1))
+            | ((F.col("zone") == 1) & (rank == F.col("seen") - F.col("rows")))
+        )
+        return F.min(F.when(F.col("seen") > rank, F.struct(F.col("seen"), F.col("value"), known.alias("known"))))
+
+    position = F.col("p") * (F.col("n") - 1)
+    found = seen.groupBy("column", "i", "p", "n").agg(at(F.floor(position)).alias("a"), at(F.ceil(position)).alias("b"))
+    value = F.col("a.value") + (F.col("b.value") - F.col("a.value")) * (position - F.floor(position))
+    checked = F.when(F.col("a.known") & F.col("b.known"), value).otherwise(
+        F.raise_error(F.lit("a quantile lies outside its sketch bounds")).cast("double")
+    )
+    return found.withColumn("q", checked).groupBy("column").agg(
+        *[F.max(F.when(F.col("i") == i, F.col("q"))).alias(quantile_name(p)) for i, p in enumerate(probabilities)]
+    )
 
 
-def _range_number(value: Column, edges: Column) -> Column:
-    """How many edges lie below the value: among every SIDE-th edge first, then between two of them."""
-    coarse = F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(SIDE - 1)),
-                                         lambda i: F.element_at(edges, i * SIDE)), lambda e: e < value))
-    inner = F.slice(edges, coarse * SIDE + 1, SIDE - 1)
-    return coarse * SIDE + F.size(F.filter(inner, lambda e: e < value))
+def modes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value) with the most frequent non-null value as text; the smallest on ties."""
+    parts = [
+        df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("rows"))
+        .agg(F.lit(c).alias("column"), F.min_by(F.col(c), F.struct(-F.col("rows"), F.col(c))).cast("string").alias("value"))
+        for c in columns
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def running_counts(counts: DataFrame, by: list[str], weights: list[str]) -> DataFrame:
-    """``counts`` has one row per (by, value) and count columns ``weights``.
+    """``counts`` has one row per (by, value) and count columns ``weights``; ``by`` has a bounded
+    number of groups, such as named columns and calendar years.
 
     Adds, per weight w, ``seen_w`` (rows at or below the value) and ``all_w`` (rows in the
     group), and ``next_value`` (the next larger value of the group, null at the end).
+
+    Sketch quantiles of the distinct values cut each group into RANGES pieces of about equal
+    size. Running counts inside the pieces run in parallel and are shifted by the counts of
+    the pieces before.
     """
-    points = [i / (SIDE * SIDE) for i in range(1, SIDE * SIDE)]
-    edges = counts.groupBy(*by).agg(F.percentile_approx("value", points, 2000).alias("_edges"))
-    cut = (
-        counts.join(edges, by)
-        .withColumn("_range", _range_number(F.col("value"), F.col("_edges")))
-        .drop("_edges")
-    )
-    # At most SIDE * SIDE rows per group from here on.
+    points = [i / RANGES for i in range(1, RANGES)]
+    edges = counts.groupBy(*by).agg(F.percentile_approx("value", points, 10 * RANGES).alias("_edges"))
+    cut = counts.join(F.broadcast(edges), by).withColumn("_range", F.lit(0))  # one row per group
+    step = RANGES // 2
+    while step:  # binary search for the number of edges below the value
+        beyond = F.get("_edges", F.col("_range") + step - 1) < F.col("value")
+        cut = cut.withColumn("_range", F.col("_range") + F.when(beyond, step).otherwise(0))
+        step //= 2
+    cut = cut.drop("_edges")
+
     sums = cut.groupBy(*by, "_range").agg(
         F.min("value").alias("_first"), *[F.sum(w).alias(f"_in_{w}") for w in weights]
     )
@@ -61,46 +118,10 @@ def running_counts(counts: DataFrame, by: list[str], weights: list[str]) -> Data
     inside = W.partitionBy(*by, "_range").orderBy("value")
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
-        cut.join(shifts, [*by, "_range"])
+        cut.join(F.broadcast(shifts), [*by, "_range"])  # at most RANGES rows per group
         .withColumns({
             **{f"seen_{w}": F.col(f"_before_{w}") + F.sum(w).over(upto) for w in weights},
             "next_value": F.coalesce(F.lead("value").over(inside), F.col("_next_first")),
         })
         .drop("_range", "_next_first", *[f"_before_{w}" for w in weights])
     )
-
-
-def quantile_name(probability: float) -> str:
-    return "q" + f"{probability * 100:g}".replace(".", "_")
-
-
-def quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], ids: list[str] | None = None
-) -> DataFrame:
-    """One row per (ids, column) with ``q25``, ``q50``, ... interpolated linearly; nulls are skipped."""
-    by = [*(ids or []), "column"]
-    seen = running_counts(value_counts_of(long_form(df, columns, ids), by), by, ["rows"])
-    picks = []
-    for p in probabilities:
-        position = (F.col("all_rows") - 1) * F.lit(float(p))
-        lower = F.min(F.when(F.col("seen_rows") > F.floor(position), F.col("value")))
-        upper = F.min(F.when(F.col("seen_rows") > F.ceil(position), F.col("value")))
-        part = F.first(position - F.floor(position))
-        picks.append((lower + (upper - lower) * part).alias(quantile_name(p)))
-    return seen.groupBy(*by).agg(*picks)
-
-
-def modes(df: DataFrame, columns: list[str], ids: list[str] | None = None) -> DataFrame:
-    """(ids, column, value) with the most frequent non-null value as text; smallest on ties."""
-    by = [*(ids or []), "column"]
-    parts = []
-    for c in columns:
-        counts = (
-            df.where(F.col(c).isNotNull()).groupBy(*(ids or []), c).agg(F.count("*").alias("rows"))
-            .groupBy(*(ids or [])).agg(F.min_by(F.col(c), F.struct(-F.col("rows"), F.col(c))).alias("value"))
-        )
-        parts.append(counts.select(*(ids or []), F.lit(c).alias("column"), F.col("value").cast("string").alias("value")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select(*by, "value")

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Recording the Python call site of every column makes wide queries slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

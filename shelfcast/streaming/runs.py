@@ -17,8 +17,11 @@ LATENESS = "10 minutes"
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
-    """Rows of new Parquet files. ``path`` may be a folder or a file pattern."""
+    """Rows of new Parquet files in a folder, or of the files with that name in theirs."""
     reader = spark.readStream.schema(schema)
+    if path.endswith(".parquet"):
+        path, name = path.rsplit("/", 1)
+        reader = reader.option("pathGlobFilter", name)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
