@@ -107,12 +107,21 @@ def full_scorer(preprocessor: PipelineModel, model) -> PipelineModel:
     return PipelineModel([*preprocessor.stages, model])
 
 
-def log_and_sales_metrics(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Scores on the log scale and, after the inverse transform, on the sales scale."""
-    both = scored.withColumns({"actual_sales": F.expm1(LABEL), "predicted_sales": F.expm1("prediction")})
-    log = regression_metrics(both, LABEL, "prediction", by).withColumn("scale", F.lit("log"))
-    plain = regression_metrics(both, "actual_sales", "predicted_sales", by).withColumn("scale", F.lit("sales"))
-    return log.unionByName(plain)
+def log_and_sales_metrics(scored: DataFrame, by: list[str] | None = None, open_days: str | None = None) -> DataFrame:
+    """Scores on the log scale and, after the inverse transform, on the sales scale, in one pass.
+
+    With ``open_days`` (a 0/1 column) each is also given for open days alone: closed days are
+    easy and flatter the overall score.
+    """
+    actual, predicted = F.col(LABEL), F.col("prediction")
+    pairs = [("log", actual, predicted), ("sales", F.expm1(actual), F.expm1(predicted))]
+    cases = [F.struct(F.lit(scale).alias("scale"), a.alias("actual"), p.alias("predicted")) for scale, a, p in pairs]
+    held = F.array(*cases)
+    if open_days:
+        only = F.array(*[c.withField("scale", F.concat(c["scale"], F.lit("_open_days"))) for c in cases])
+        held = F.when(F.col(open_days) == 1, F.concat(held, only)).otherwise(held)
+    by = by or []
+    return regression_metrics(scored.select(*by, F.inline(held)), "actual", "predicted", [*by, "scale"])
 
 
 def importances(spark, model, names: list[str], top: int = 15) -> DataFrame:

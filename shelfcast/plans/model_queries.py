@@ -13,6 +13,7 @@ from shelfcast.plans import training
 from shelfcast.plans.registry import day_text, query
 from shelfcast.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from shelfcast.session import shared_folder
+from shelfcast.sources import files
 from shelfcast.sources.canonical import merged, sales, store, table
 
 # Small settings: these queries show the steps, not the best model.
@@ -21,17 +22,20 @@ BOOSTING = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1}
 
 
 def _rows(spark, sf_dir):
-    """Labelled feature rows of both splits, fitted preprocessing and the vectors."""
+    """Fitted preprocessing and the labelled vectors of both splits, written once to the shared
+    folder: learners pass over them many times."""
+    folder = f"{shared_folder(spark)}/vectors/{uuid.uuid4().hex}"
     rows = models.with_label(timeseries.feature_table(prepare.with_split(merged(spark, sf_dir)), subset=["sales_lag_30"]))
-    rows = rows.select("Store", "Date", "split", "Sales", models.LABEL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES)
+    files.write_parquet(rows.select("Store", "Date", "split", models.LABEL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES), f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
     fitted = features.fit(rows.where("split = 'train'"))
-    return fitted, fitted.model.transform(rows)
+    vectors = fitted.model.transform(rows).select("Store", "Date", "split", "Open", models.LABEL, "features")
+    files.write_parquet(vectors, f"{folder}/vectors")
+    return fitted, spark.read.parquet(f"{folder}/vectors")
 
 
 def _scores(model, ready):
-    return models.log_and_sales_metrics(model.transform(ready), ["split"]).union(
-        models.log_and_sales_metrics(model.transform(ready.where("Open = 1")), ["split"]).withColumn("scale", F.concat("scale", F.lit("_open_days")))
-    )
+    return models.log_and_sales_metrics(model.transform(ready), ["split"], "Open")
 
 
 @query()
