@@ -11,6 +11,7 @@ from shelfcast.plans import (  # noqa: F401
     prepare_queries,
     retrieval_queries,
     series_queries,
+    source_queries,
 )
 from shelfcast.plans.registry import ORACLES, QUERIES
 

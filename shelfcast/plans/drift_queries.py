@@ -39,7 +39,7 @@ _SIDES = {
     "newer": f"select * from merged where Date >= date '{CUT}'",
 }
 _NUMERIC_SQL = {**_SIDES, "numeric_shift": " union all ".join(f"({_numeric_sql(c, 'older', 'newer')})" for c in NUMERIC)}
-_ALL_SQL = {
+ALL_SQL = {
     **_NUMERIC_SQL,
     "categorical_shift": " union all ".join(f"({_categorical_sql(c, 'older', 'newer')})" for c in CATEGORICAL),
     "report": """select "column", 'numeric' as kind, w1/greatest(std,0.001) as score, current_rows from numeric_shift
@@ -47,7 +47,7 @@ _ALL_SQL = {
 }
 
 
-def _sides(spark, sf_dir):
+def sides(spark, sf_dir):
     rows = merged(spark, sf_dir)
     return rows.where(F.col("Date") < F.lit(CUT).cast("date")), rows.where(F.col("Date") >= F.lit(CUT).cast("date"))
 
@@ -55,25 +55,25 @@ def _sides(spark, sf_dir):
 @query(sql(_numeric_output("numeric_shift"), **_NUMERIC_SQL))
 def drift_numeric(spark, sf_dir):
     """Kolmogorov-Smirnov and Wasserstein distances of the numeric columns."""
-    out = drift.numeric_drift(*_sides(spark, sf_dir), NUMERIC)
+    out = drift.numeric_drift(*sides(spark, sf_dir), NUMERIC)
     return rounded(rounded(out, "ks", "w1_norm"), "w1", places=4)
 
 
-@query(sql("select \"column\", round(js,6) as js, round(psi,6) as psi, round(chi2,4) as chi2, reference_rows, current_rows from categorical_shift", **_ALL_SQL))
+@query(sql("select \"column\", round(js,6) as js, round(psi,6) as psi, round(chi2,4) as chi2, reference_rows, current_rows from categorical_shift", **ALL_SQL))
 def drift_categorical(spark, sf_dir):
-    out = drift.categorical_drift(*_sides(spark, sf_dir), CATEGORICAL)
+    out = drift.categorical_drift(*sides(spark, sf_dir), CATEGORICAL)
     return rounded(rounded(out, "js", "psi"), "chi2", places=4)
 
 
-@query(sql("select \"column\", kind, round(score,6) as score, 0.1::double as threshold, score >= 0.1 as drifted, current_rows from report", **_ALL_SQL))
+@query(sql("select \"column\", kind, round(score,6) as score, 0.1::double as threshold, score >= 0.1 as drifted, current_rows from report", **ALL_SQL))
 def drift_columns(spark, sf_dir):
-    return rounded(drift.drift_report(*_sides(spark, sf_dir), NUMERIC, CATEGORICAL), "score")
+    return rounded(drift.drift_report(*sides(spark, sf_dir), NUMERIC, CATEGORICAL), "score")
 
 
 @query(sql("""select 'success' as status, round(avg(case when score >= 0.1 then 1.0 else 0.0 end),4) as drift_share, cast(sum(case when score >= 0.1 then 1 else 0 end) as bigint) as drifted_columns_count,
- avg(case when score >= 0.1 then 1.0 else 0.0 end) > 0.3 as requires_retraining from report""", **_ALL_SQL))
+ avg(case when score >= 0.1 then 1.0 else 0.0 end) > 0.3 as requires_retraining from report""", **ALL_SQL))
 def drift_summary(spark, sf_dir):
-    return drift.drift_summary(drift.drift_report(*_sides(spark, sf_dir), NUMERIC, CATEGORICAL))
+    return drift.drift_summary(drift.drift_report(*sides(spark, sf_dir), NUMERIC, CATEGORICAL))
 
 
 _FACTOR = "(1.1::double + 0.4::double * (('0x' || substr(md5(cast(Store as varchar)),1,8))::bigint / 4294967296.0::double))"

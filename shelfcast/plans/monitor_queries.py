@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfcast.operators import baseline, monitor, timeseries
+from shelfcast.operators.drift import SHARE_THRESHOLD
+from shelfcast.plans.drift_queries import ALL_SQL, CATEGORICAL, NUMERIC, sides
 from shelfcast.plans.forecast_queries import MODEL_SQL, _model
 from shelfcast.plans.registry import query, rounded, sql, time_text
+from shelfcast.sources import files
 from shelfcast.sources.canonical import sales, store, table
 from shelfcast.streaming import monitor as live
 from shelfcast.streaming import scoring
-from shelfcast.streaming.runs import run_to_end, start_files
+from shelfcast.streaming.runs import read_stream, run_folder, run_to_end, start_files, start_table
 
 
 def _requests(spark, sf_dir):
@@ -123,7 +126,9 @@ def stream_distinct(spark, sf_dir):
 def stream_scoring(spark, sf_dir):
     """Order lines arriving as requests: enriched, scored and logged."""
     history = timeseries.with_production_lags(sales(spark, sf_dir), lags=(1,), means=())
-    latest = timeseries.latest_per_store(history, ["sales_lag_1"])
+    folder = run_folder(spark, "lag-table")
+    files.write_parquet(timeseries.latest_per_store(history, ["sales_lag_1"]), folder)
+    latest = spark.read.parquet(folder)  # computed once, not in every micro-batch
     m = _model(spark, sf_dir).first()  # one row: a served model's weights are fixed while it serves
     weights = {name: F.lit(m[name]) for name in ("intercept", "lag_weight", "promo_weight")}
     scored = scoring.score(
@@ -132,3 +137,33 @@ def stream_scoring(spark, sf_dir):
     )
     logged = run_to_end(scored.select("order_id", "line", "Store", "Date", "StoreType", "prediction"), "scoring", start_files)
     return logged.withColumn("Date", F.date_format("Date", "yyyy-MM-dd"))
+
+
+def _as_stream(spark, df, name):
+    """A stream over a table written for it."""
+    folder = run_folder(spark, name)
+    files.write_parquet(df, folder)
+    return read_stream(spark, folder, df.schema)
+
+
+@query(sql("select Store, cast(Date as varchar) as Date, Sales from sales qualify row_number() over (partition by Store order by Date desc) = 1"))
+def stream_latest_sales(spark, sf_dir):
+    """Last day and sales of each store, kept as streaming state."""
+    days = _as_stream(spark, sales(spark, sf_dir).select("Store", "Date", "Sales"), "store-days")
+    return run_to_end(scoring.latest_sales(days), "latest-sales", start_table).withColumn("Date", F.date_format("Date", "yyyy-MM-dd"))
+
+
+@query(sql("""select 'success' as status, round(avg(case when score >= 0.1 then 1.0 else 0.0 end),4) as drift_share, cast(sum(case when score >= 0.1 then 1 else 0 end) as bigint) as drifted_columns_count,
+ avg(case when score >= 0.1 then 1.0 else 0.0 end) > 0.3 as requires_retraining from report""", **ALL_SQL))
+def stream_drift(spark, sf_dir):
+    """The newer rows arriving as a log and checked against the older ones."""
+    older, newer = sides(spark, sf_dir)
+    columns = [*NUMERIC, *CATEGORICAL]
+    reference_folder = run_folder(spark, "reference")
+    files.write_parquet(older.select(columns), reference_folder)
+    log = _as_stream(spark, newer.select(columns), "drift-log")
+    folder = run_folder(spark, "drift")
+    scoring.start_drift_checks(
+        log, spark.read.parquet(reference_folder), NUMERIC, CATEGORICAL, SHARE_THRESHOLD, folder, trigger={"availableNow": True},
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/drift").select("status", "drift_share", "drifted_columns_count", "requires_retraining")
