@@ -36,7 +36,7 @@ def _side_counts(
     ids: list[str] = []
     if period:
         by, ids = ["column", period], [period]
-        periods = current.agg(F.collect_set(period).alias("p")).scalar()
+        periods = current.agg(F.collect_set(period)).scalar()
         ref = ref.withColumn(period, F.explode(periods))
     cur = long_form(current, columns, ids, kind).groupBy(*by, "value").agg(F.count("*").alias("c"))
     both = ref.select(*by, "value", "r", F.lit(0).cast("bigint").alias("c")).unionByName(
@@ -72,7 +72,7 @@ def categorical_drift(
     """(column, js, psi, chi2, reference_rows, current_rows)."""
     counts, by = _side_counts(reference, current, columns, "string", period)
     totals = counts.groupBy(*by).agg(F.sum("r").alias("reference_rows"), F.sum("c").alias("current_rows"))
-    p, q = F.col("p"), F.col("q")
+    p, q = F.col("_p"), F.col("_q")
     middle = (p + q) / 2
     floor_p, floor_q = F.greatest(p, F.lit(LEAST_SHARE)), F.greatest(q, F.lit(LEAST_SHARE))
 
@@ -81,8 +81,8 @@ def categorical_drift(
 
     expected = p * F.col("current_rows")
     shares = counts.join(totals, by).withColumns({
-        "p": F.try_divide(F.col("r"), F.col("reference_rows")),
-        "q": F.try_divide(F.col("c"), F.col("current_rows")),
+        "_p": F.try_divide(F.col("r"), F.col("reference_rows")),
+        "_q": F.try_divide(F.col("c"), F.col("current_rows")),
     })
     return shares.groupBy(*by, "reference_rows", "current_rows").agg(
         F.sqrt(F.greatest(F.sum(relative(p) + relative(q)) / 2, F.lit(0.0))).alias("js_raw"),
