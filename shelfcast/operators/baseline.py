@@ -46,5 +46,6 @@ def log_prediction(model: Column, lag: Column, promo: Column) -> Column:
 
 
 def with_prediction(rows: DataFrame, model: DataFrame) -> DataFrame:
-    log = log_prediction(as_struct(model), F.col("sales_lag_1"), F.col("Promo"))
-    return rows.withColumn("log_prediction", log).withColumn("prediction", F.expm1("log_prediction"))
+    log = log_prediction(F.col("_model"), F.col("sales_lag_1"), F.col("Promo"))
+    scored = rows.withColumn("_model", as_struct(model)).withColumn("log_prediction", log)
+    return scored.withColumn("prediction", F.expm1("log_prediction")).drop("_model")

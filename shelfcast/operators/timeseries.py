@@ -112,16 +112,21 @@ def feature_table(
     split_column: str | None = "split",
     subset: list[str] | None = None,
     exclude_current: bool = False,
+    piece: Column | None = None,
 ) -> DataFrame:
     """Production features: lags inside each split, date parts, rows with any null dropped.
 
     ``split_column=None`` takes lags over the whole series. ``subset`` limits the null check
     to some columns; by default optional columns count too, so a store without continuous
-    promotion loses all its rows.
+    promotion loses all its rows. ``piece`` cuts the series as in ``over_slices``.
     """
     by = (split_column, "Store") if split_column else ("Store",)
-    out = with_date_parts(with_production_lags(merged, by, exclude_current=exclude_current))
-    return out.na.drop("any", subset=subset)
+
+    def lags(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        return with_production_lags(df, keys, exclude_current=exclude_current)
+
+    out = lags(merged, by) if piece is None else over_slices(merged, lags, max(LAGS), by, piece=piece)
+    return with_date_parts(out).na.drop("any", subset=subset)
 
 
 def latest_per_store(df: DataFrame, columns: list[str] | None = None, by: str = "Store", order: str = "Date") -> DataFrame:

@@ -50,9 +50,11 @@ def _metric_sql(actual, predicted):
 def eval_metrics(spark, sf_dir):
     """Scores per split on the log scale and on the sales scale."""
     scored = _scored(spark, sf_dir)
-    log = metrics.regression_metrics(scored, "label", "log_prediction", ["split"]).withColumn("scale", F.lit("log"))
-    plain = metrics.regression_metrics(scored, "Sales", "prediction", ["split"]).withColumn("scale", F.lit("sales"))
-    return rounded(log.unionByName(plain), "rmse", "mae", "r2")
+    pairs = scored.select("split", F.inline(F.array(
+        F.struct(F.lit("log").alias("scale"), F.col("label").alias("actual"), F.col("log_prediction").alias("predicted")),
+        F.struct(F.lit("sales").alias("scale"), F.col("Sales").cast("double").alias("actual"), F.col("prediction").alias("predicted")),
+    )))
+    return rounded(metrics.regression_metrics(pairs, "actual", "predicted", ["scale", "split"]), "rmse", "mae", "r2")
 
 
 _MODELS_SQL = {

@@ -12,8 +12,7 @@ from shelfcast.operators.retrieve import rule_documents
 from shelfcast.plans import training
 from shelfcast.plans.registry import day_text, query
 from shelfcast.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from shelfcast.session import shared_folder
-from shelfcast.sources import files
+from shelfcast.session import shared_folder, written
 from shelfcast.sources.canonical import merged, sales, store, table
 
 # Small settings: these queries show the steps, not the best model.
@@ -24,14 +23,11 @@ BOOSTING = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1}
 def _rows(spark, sf_dir):
     """Fitted preprocessing and the labelled vectors of both splits, written once to the shared
     folder: learners pass over them many times."""
-    folder = f"{shared_folder(spark)}/vectors/{uuid.uuid4().hex}"
     rows = models.with_label(timeseries.feature_table(prepare.with_split(merged(spark, sf_dir)), subset=["sales_lag_30"]))
-    files.write_parquet(rows.select("Store", "Date", "split", models.LABEL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES), f"{folder}/rows")
-    rows = spark.read.parquet(f"{folder}/rows")
+    rows = written(rows.select("Store", "Date", "split", models.LABEL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES), "features")
     fitted = features.fit(rows.where("split = 'train'"))
     vectors = fitted.model.transform(rows).select("Store", "Date", "split", "Open", models.LABEL, "features")
-    files.write_parquet(vectors, f"{folder}/vectors")
-    return fitted, spark.read.parquet(f"{folder}/vectors")
+    return fitted, written(vectors, "vectors")
 
 
 def _scores(model, ready):

@@ -9,6 +9,7 @@ from shelfcast.operators.drift import SHARE_THRESHOLD
 from shelfcast.plans.drift_queries import ALL_SQL, CATEGORICAL, NUMERIC, sides
 from shelfcast.plans.forecast_queries import MODEL_SQL, _model
 from shelfcast.plans.registry import query, rounded, sql, time_text
+from shelfcast.session import written
 from shelfcast.sources import files
 from shelfcast.sources.canonical import sales, store, table
 from shelfcast.streaming import monitor as live
@@ -126,9 +127,7 @@ def stream_distinct(spark, sf_dir):
 def stream_scoring(spark, sf_dir):
     """Order lines arriving as requests: enriched, scored and logged."""
     history = timeseries.with_production_lags(sales(spark, sf_dir), lags=(1,), means=())
-    folder = run_folder(spark, "lag-table")
-    files.write_parquet(timeseries.latest_per_store(history, ["sales_lag_1"]), folder)
-    latest = spark.read.parquet(folder)  # computed once, not in every micro-batch
+    latest = written(timeseries.latest_per_store(history, ["sales_lag_1"]), "last-lags")  # not again in every micro-batch
     m = _model(spark, sf_dir).first()  # one row: a served model's weights are fixed while it serves
     weights = {name: F.lit(m[name]) for name in ("intercept", "lag_weight", "promo_weight")}
     scored = scoring.score(
@@ -159,11 +158,10 @@ def stream_drift(spark, sf_dir):
     """The newer rows arriving as a log and checked against the older ones."""
     older, newer = sides(spark, sf_dir)
     columns = [*NUMERIC, *CATEGORICAL]
-    reference_folder = run_folder(spark, "reference")
-    files.write_parquet(older.select(columns), reference_folder)
+    reference = written(older.select(columns), "drift-reference")
     log = _as_stream(spark, newer.select(columns), "drift-log")
     folder = run_folder(spark, "drift")
     scoring.start_drift_checks(
-        log, spark.read.parquet(reference_folder), NUMERIC, CATEGORICAL, SHARE_THRESHOLD, folder, trigger={"availableNow": True},
+        log, reference, NUMERIC, CATEGORICAL, SHARE_THRESHOLD, folder, trigger={"availableNow": True},
     ).awaitTermination()
     return spark.read.parquet(f"{folder}/drift").select("status", "drift_share", "drifted_columns_count", "requires_retraining")

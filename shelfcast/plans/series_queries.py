@@ -9,7 +9,7 @@ from shelfcast.functions.dates import with_date_parts
 from shelfcast.operators import features as fit_features
 from shelfcast.operators import prepare, timeseries
 from shelfcast.plans.registry import SPLIT_SQL, day_text, query, rounded, sql
-from shelfcast.schemas import CATEGORICAL_FEATURES, LAG_COLUMNS, LOG_FEATURES, NUMERIC_FEATURES
+from shelfcast.schemas import CATEGORICAL_FEATURES, LAG_COLUMNS, LOG_FEATURES, NUMERIC_FEATURES, PRUNED_FEATURES
 from shelfcast.sources.canonical import merged, sales
 
 _LAGS_SQL = """select *, lag(Sales,1) over w as sales_lag_1, lag(Sales,7) over w as sales_lag_7, lag(Sales,30) over w as sales_lag_30,
@@ -59,12 +59,15 @@ def rolling_features(spark, sf_dir):
     return rounded(out.select("Store", day_text().alias("Date"), *_LOG_COLUMNS), *_LOG_COLUMNS)
 
 
-@query(sql("""select * from (select Store, cast(Date as varchar) as Date, DayOfWeek, Promo, StateHoliday, SchoolHoliday, StoreType, Assortment, CompetitionDistance,
+_LOG_FEATURES_SQL = """select * from (select Store, cast(Date as varchar) as Date, DayOfWeek, Promo, StateHoliday, SchoolHoliday, StoreType, Assortment, CompetitionDistance,
  cast(case when coalesce(CompetitionOpenSinceYear,0)=0 then 0 else greatest(0, (year(Date)-CompetitionOpenSinceYear)*12 + month(Date)-CompetitionOpenSinceMonth) end as int) as CompetitionOpenMonths,
  Promo2, cast(case when coalesce(Promo2SinceYear,0)=0 then 0 else greatest(0.0, round((year(Date)-Promo2SinceYear)*12 + (week(Date)-Promo2SinceWeek)/4.345::double, 1)) end as double) as Promo2OpenMonths,
- cast(year(Date) as int) as Year, cast(month(Date) as int) as Month, cast(day(Date) as int) as Day, cast(week(Date) as int) as WeekOfYear, """
-           + ", ".join(f"round({c},6) as {c}" for c in _LOG_COLUMNS) + """ from logged)
- where lag_30 is not null and CompetitionDistance is not null and Year <= 1997""", logged=_LOG_SQL))
+ cast(year(Date) as int) as Year, cast(month(Date) as int) as Month, cast(day(Date) as int) as Day, cast(week(Date) as int) as WeekOfYear, """ + ", ".join(
+    f"round({c},6) as {c}" for c in _LOG_COLUMNS) + """ from logged)
+ where lag_30 is not null and CompetitionDistance is not null and Year <= 1997"""
+
+
+@query(sql(_LOG_FEATURES_SQL, logged=_LOG_SQL))
 def feature_table_log(spark, sf_dir):
     """The 24 features on log sales of open days, up to the test year 1997."""
     whole = ["CompetitionOpenSinceMonth", "CompetitionOpenSinceYear", "Promo2SinceWeek", "Promo2SinceYear"]
@@ -76,6 +79,12 @@ def feature_table_log(spark, sf_dir):
     return rounded(kept.select(*LOG_FEATURES[:1], "Date", *LOG_FEATURES[1:]), *_LOG_COLUMNS)
 
 
+@query(sql(f"select * exclude (lag_30, lag_14, Month) from ({_LOG_FEATURES_SQL})", logged=_LOG_SQL))
+def pruned_features(spark, sf_dir):
+    """The same without the features that were pruned."""
+    return feature_table_log(spark, sf_dir).drop(*PRUNED_FEATURES)
+
+
 @query(sql("select Store, cast(Date as varchar) as Date, sales_lag_1, sales_lag_7, sales_lag_30, round(sales_roll_mean_7,6) as sales_roll_mean_7 from lagged qualify row_number() over (partition by Store order by Date desc) = 1",
            lagged=_LAGS_SQL.format(source="sales", by="Store")))
 def latest_per_store(spark, sf_dir):
@@ -170,3 +179,15 @@ def onehot_features(spark, sf_dir):
     fitted = fit_features.fit(rows.where("split = 'train'"), numeric=[])
     out = fit_features.active_categories(rows, fitted, ["Store", "Date", "split"])
     return out.select("Store", day_text().alias("Date"), "split", "feature")
+
+
+@query(sql(" union all ".join(
+    f"select distinct concat('{c}_', {c}) as feature from features where split = 'train' and {c} in (select {c} from features where split = 'test')"
+    for c in CATEGORICAL_FEATURES), **_ROOMY_SQL))
+def aligned_categories(spark, sf_dir):
+    """One-hot columns that encodings fitted on each split have in common."""
+    rows = _features(spark, sf_dir, ["sales_lag_30"])
+    train, test = (fit_features.fit(rows.where(F.col("split") == s), numeric=[]) for s in ("train", "test"))
+    shared = fit_features.shared_categories(train, test)
+    names = [f"{c}_{v}" for c, values in shared.items() for v in values]
+    return spark.createDataFrame([(n,) for n in names], "feature string")

@@ -132,4 +132,16 @@ def merge_rules(*rule_sets: dict[str, Rule]) -> dict[str, Rule]:
     return merged
 
 
+def rules_from(described: dict[str, dict]) -> dict[str, Rule]:
+    """Rules from a parsed description: dtype, nullable, min, max, allowed_values per column."""
+    kinds = {"int64": "integer", "float64": "number", "object": "text", "datetime64[ns]": "date"}
+    return {
+        column: Rule(
+            "date" if column == "Date" else kinds[d["dtype"]], d.get("nullable", True), d.get("min"), d.get("max"),
+            tuple(d["allowed_values"]) if "allowed_values" in d else None,
+        )
+        for column, d in described.items()
+    }
+
+
 MERGED_RULES = merge_rules(SALES_RULES, STORE_RULES)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +54,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows from a table written to the shared folder: for results that several queries
+    read, so that they are computed once and outlive lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
