@@ -55,6 +55,11 @@ def fill(template: str, *values: Column, **named: Column) -> Column:
     return F.concat(*parts)
 
 
+def quoted(value: object) -> str:
+    """A value as a SQL string literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def plain_number(number: Column) -> Column:
     """A double as text without an exponent where it is whole: 1270.0, 12000000.0."""
     whole = (number == F.floor(number)) & (F.abs(number) < 1e16)

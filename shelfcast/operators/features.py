@@ -15,6 +15,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.functions.text import quoted
 from shelfcast.operators.explore import per_column
 from shelfcast.operators.quantiles import modes, quantiles
 from shelfcast.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
@@ -56,10 +57,6 @@ def categories_of(train: DataFrame, common: dict[str, str]) -> dict[str, list[st
     return {c: sorted(r["value"] for r in rows if r["column"] == c) for c in common}
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def projection(medians, means, deviations, common, categories) -> str:
     """The fitted transform as a SELECT over ``__THIS__``."""
     parts = ["*"]
@@ -67,8 +64,8 @@ def projection(medians, means, deviations, common, categories) -> str:
         scale = deviations[c] or 1.0  # a constant column becomes 0
         parts.append(f"(coalesce(CAST(`{c}` AS DOUBLE), {median!r}D) - {means[c]!r}D) / {scale!r}D AS `scaled_{c}`")
     for c, values in categories.items():
-        held = f"coalesce(CAST(`{c}` AS STRING), {_quoted(common[c])})"
-        parts += [f"CAST({held} = {_quoted(v)} AS DOUBLE) AS `{c}_{v}`" for v in values]
+        held = f"coalesce(CAST(`{c}` AS STRING), {quoted(common[c])})"
+        parts += [f"CAST({held} = {quoted(v)} AS DOUBLE) AS `{c}_{v}`" for v in values]
     return f"SELECT {', '.join(parts)} FROM __THIS__"
 
 

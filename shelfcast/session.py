@@ -21,6 +21,9 @@ DEFAULTS = {
 }
 
 
+_local_folders: dict[str, str] = {}
+
+
 def build_session(app: str = "shelfcast", master: str | None = None, **conf: str) -> SparkSession:
     """Get a session with the defaults above. Keyword names use ``_`` for ``.``."""
     builder = SparkSession.builder.appName(app)
@@ -43,9 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="shelfcast-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="shelfcast-")
+    return _local_folders[application]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
