@@ -77,6 +77,29 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return mix(out)
 
 
+def prefix_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lengths: range, lower: bool = False, piece: int = 1 << 17) -> np.ndarray:
+    """A row of 64-bit hashes for each length: of the first so many bytes of every span, 0 for
+    spans that are not longer. Prefixes never share a hash with whole spans."""
+    table, out, at = _LOWER if lower else _RAW, np.zeros((len(lengths), len(starts)), dtype=U), 0
+    with np.errstate(over="ignore"):
+        while at < len(starts):
+            first = starts[at]
+            to = max(at + 1, int(np.searchsorted(ends, first + piece, "right")))
+            up, down = _power_tables(int(ends[to - 1] - first) + 1)
+            sums = np.zeros(int(ends[to - 1] - first) + 1, dtype=U)
+            np.cumsum(table[data[first:ends[to - 1]]] * up[:len(sums) - 1], out=sums[1:])
+            s, size = starts[at:to] - first, ends[at:to] - starts[at:to]
+            base, scale = sums[s], down[s]
+            for k, length in enumerate(lengths):
+                long = np.flatnonzero(size > length)
+                out[k, at + long] = (sums[s[long] + length] - base[long]) * scale[long]
+            at = to
+    for row in out:
+        there = row != 0
+        row[there] = mix(row[there] ^ U(0xA0761D6478BD642F))
+    return out
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words, and the number of words before each document (and in all)."""
     inside = ~separator[data]

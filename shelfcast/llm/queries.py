@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, packing
-from shelfcast.llm.columns import texts_only
+from shelfcast.llm import bpe, packing, quality, rules, toxicity
+from shelfcast.llm.columns import fold, texts_only
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,35 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from labels outside the fifth that is held out."""
+    docs = texts_only(table(spark, sf_dir, "documents"))
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", fold("doc_id", 5) != 0)
+    scored = quality.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels outside the third that is held out."""
+    docs = texts_only(table(spark, sf_dir, "documents"))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", fold("doc_id", 3) != 1)
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    return scored.select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted", F.size("spans").cast("bigint").alias("n_spans"))
+
+
+@query
+def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all documents and the verdict of the learned decision list."""
+    docs = texts_only(table(spark, sf_dir, "documents"))
+    judged = rules.judge(docs, rules.fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        (~F.col("base_failed") & F.col("verdict")).alias("kept"))
+
+
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, and what they decode to, as digests."""
