@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, packing, quality, rules, toxicity
+from shelfcast.llm import bpe, packing, parity, quality, rules, toxicity
 from shelfcast.llm.columns import fold, texts_only
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,12 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~F.col("base_failed") & F.col("verdict")).alias("kept"))
 
 
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles are similar by 0.9 or more."""
+    return parity.similar(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, and what they decode to, as digests."""
