@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, packing, parity, quality, rules, toxicity
+from shelfcast.llm import bpe, lm, packing, parity, quality, rules, toxicity
 from shelfcast.llm.columns import fold, texts_only
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,15 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of all documents, learned from those outside the seventh held out."""
+    docs = texts_only(table(spark, sf_dir, "documents"))
+    scored = lm.score(docs, lm.fit(docs, fold("doc_id", 7) != 2), keep=["doc_id"])
+    return scored.select(
+        "doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents, learned from labels outside the fifth that is held out."""
