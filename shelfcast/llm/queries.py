@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, lm, packing, parity, quality, rules, toxicity
+from shelfcast.llm import bpe, lm, packing, parity, quality, rules, toxicity, wrappers
 from shelfcast.llm.columns import fold, texts_only
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted", F.size("spans").cast("bigint").alias("n_spans"))
 
 
+@query
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page, by the wrapper of its host."""
+    return wrappers.main_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 @query
 def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of all documents and the verdict of the learned decision list."""
