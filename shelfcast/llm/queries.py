@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, lm, packing, parity, quality, rules, toxicity, wrappers
+from shelfcast.llm import bpe, lm, neighbours, packing, parity, quality, rules, toxicity, wrappers
 from shelfcast.llm.columns import fold, texts_only
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,13 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+@query
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest vectors of every fiftieth."""
+    found = neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from labels outside the third that is held out."""
