@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, lm, neighbours, packing, parity, quality, rules, toxicity, wrappers
+from shelfcast.llm import bpe, linededup, lm, neighbours, packing, parity, quality, rules, toxicity, wrappers
 from shelfcast.llm.columns import fold, texts_only
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,12 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+@query
+def op5_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all documents the lines that repeat another line, exactly or nearly."""
+    return linededup.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from labels outside the third that is held out."""
