@@ -40,6 +40,9 @@ class WordIds:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.words: dict[bytes, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
+        lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("A") == "a"
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()] if lowers else None
 
     def learn(self, words: list[bytes]) -> None:
         for at in range(0, len(words), 20_000):
@@ -50,13 +53,24 @@ class WordIds:
             flat = ids.tobytes()
             self.words.update((w, flat[bounds[k]:bounds[k + 1]]) for k, w in enumerate(part))
 
+    def fold(self, text: bytes) -> bytes:
+        """The text in lower case where the tokenizer makes no difference: it lowers letters
+        itself, but finds its special tokens before that."""
+        if self.special is None:
+            return text
+        low = text.lower()
+        return text if any(s in low for s in self.special) else low
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers. A tokenizer that drops
         white space gives a text the ids of its words in order, so only unknown words cost."""
         if len(self.words) > CACHED:
-            self.words.clear()
-        split = [t.split() for t in texts]
+            self.words, self.earlier = {}, self.words
+        split = [self.fold(t).split() for t in texts]
         missing = set().union(*split).difference(self.words)
+        known = missing.intersection(self.earlier)
+        self.words.update((w, self.earlier[w]) for w in known)
+        missing -= known
         if missing:
             self.learn(list(missing))
         get = self.words.__getitem__
