@@ -178,7 +178,8 @@ def learn(rows: pd.DataFrame, rejected: np.ndarray) -> DecisionList:
         rule = prune(grow(grown, grown_bad), pruned, pruned_bad)
         held = covered(rule, pruned)
         caught = int((held & pruned_bad).sum())
-        if not rule or caught < LEAST_COVERED or caught < PRECISION * held.sum():
+        # One more of either kind than was seen, so that a few hits alone prove no rule.
+        if not rule or caught < LEAST_COVERED or caught + 1 < PRECISION * (held.sum() + 2):
             break
         made.rules.append(rule)
         left = ~covered(rule, grown)
