@@ -159,6 +159,10 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 50) -> DataFrame:
         .groupBy("column", "low", "high", "bin").agg(F.count("*").alias("rows"))
     )
     width = (F.col("high") - F.col("low")) / bins
+    # Every bin has a row, also those without values; a column of one value has only the first.
+    last = F.when(F.col("high") > F.col("low"), bins - 1).otherwise(0)
+    every = bounds.where(F.col("low").isNotNull()).select("column", "low", "high", F.explode(F.sequence(F.lit(0), last)).alias("bin"))
+    counts = every.join(counts.select("column", "bin", "rows"), ["column", "bin"], "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
     return counts.select(
         "column", "bin",
         (F.col("low") + width * F.col("bin")).alias("bin_start"),

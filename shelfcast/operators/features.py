@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +20,6 @@ from shelfcast.operators.explore import per_column
 from shelfcast.operators.quantiles import modes, quantiles
 from shelfcast.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
-MAX_CATEGORIES = 1000  # over all columns: more are refused, never cut off
-
 
 @dataclass(frozen=True)
 class Fitted:
@@ -48,24 +46,27 @@ def scales_of(train: DataFrame, medians: dict[str, float]) -> DataFrame:
     return per_column(train, {c: {"mean": F.avg(x), "deviation": F.stddev_pop(x)} for c, x in filled.items()})
 
 
-def categories_of(train: DataFrame, common: dict[str, str]) -> dict[str, list[str]]:
-    """Sorted categories of each column after imputation."""
-    held = train.select([F.coalesce(F.col(c).cast("string"), F.lit(v)).alias(c) for c, v in common.items()])
-    rows = held.unpivot([], list(common), "column", "value").distinct().take(MAX_CATEGORIES + 1)
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories; encode fewer columns")
-    return {c: sorted(r["value"] for r in rows if r["column"] == c) for c in common}
+def encoders(train: DataFrame, common: dict[str, str]) -> tuple[dict[str, list[str]], list]:
+    """Sorted categories of each column after imputation, and the stages that turn the columns
+    ``text_<column>`` into sparse vectors ``onehot_<column>``. Any number of categories fits: a row
+    holds one entry for each column. An unknown category later has none."""
+    if not common:
+        return {}, []
+    filled = train.select([F.coalesce(F.col(c).cast("string"), F.lit(v)).alias(f"text_{c}") for c, v in common.items()])
+    texts, slots = [f"text_{c}" for c in common], [f"slot_{c}" for c in common]
+    indexer = StringIndexer(inputCols=texts, outputCols=slots, stringOrderType="alphabetAsc", handleInvalid="keep").fit(filled)
+    encoder = OneHotEncoder(inputCols=slots, outputCols=[f"onehot_{c}" for c in common], dropLast=True, handleInvalid="error")
+    # The slot of unknown categories is the last and is dropped.
+    return {c: list(labels) for c, labels in zip(common, indexer.labelsArray)}, [indexer, encoder.fit(indexer.transform(filled))]
 
 
-def projection(medians, means, deviations, common, categories) -> str:
+def projection(medians, means, deviations, common) -> str:
     """The fitted transform as a SELECT over ``__THIS__``."""
     parts = ["*"]
     for c, median in medians.items():
         scale = deviations[c] or 1.0  # a constant column becomes 0
         parts.append(f"(coalesce(CAST(`{c}` AS DOUBLE), {median!r}D) - {means[c]!r}D) / {scale!r}D AS `scaled_{c}`")
-    for c, values in categories.items():
-        held = f"coalesce(CAST(`{c}` AS STRING), {quoted(common[c])})"
-        parts += [f"CAST({held} = {quoted(v)} AS DOUBLE) AS `{c}_{v}`" for v in values]
+    parts += [f"coalesce(CAST(`{c}` AS STRING), {quoted(v)}) AS `text_{c}`" for c, v in common.items()]
     return f"SELECT {', '.join(parts)} FROM __THIS__"
 
 
@@ -97,12 +98,12 @@ def fit(
     try:
         medians, means, deviations = _numeric_statistics(held, numeric)
         common = {r["column"]: r["value"] for r in modes(held, categorical).collect()} if categorical else {}
-        categories = categories_of(held, {c: common[c] for c in categorical}) if categorical else {}
+        categories, stages = encoders(held, {c: common[c] for c in categorical})
     finally:
         held.unpersist()
-    names = [f"scaled_{c}" for c in numeric] + [f"{c}_{v}" for c, values in categories.items() for v in values]
+    names = [f"scaled_{c}" for c in numeric] + [f"onehot_{c}" for c in categories]
     model = PipelineModel([
-        SQLTransformer(statement=projection(medians, means, deviations, common, categories)),
+        SQLTransformer(statement=projection(medians, means, deviations, common)), *stages,
         VectorAssembler(inputCols=names, outputCol=vector),
     ])
     return Fitted(medians, means, deviations, common, categories, model)
@@ -113,8 +114,22 @@ def shared_categories(train: Fitted, test: Fitted) -> dict[str, list[str]]:
     return {c: [v for v in values if v in test.categories.get(c, [])] for c, values in train.categories.items()}
 
 
+def common_categories(rows: DataFrame, columns: list[str], split: str = "split") -> DataFrame:
+    """(feature): one-hot slots whose category occurs in both splits, as distinct sets joined."""
+    long = rows.select(split, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot([split], columns, "column", "value")
+    held = long.where(F.col("value").isNotNull()).distinct()
+    sides = [held.where(F.col(split) == s).select("column", "value") for s in ("train", "test")]
+    return sides[0].join(sides[1], ["column", "value"]).select(F.concat_ws("_", "column", "value").alias("feature"))
+
+
 def active_categories(df: DataFrame, fitted: Fitted, ids: list[str]) -> DataFrame:
     """(ids..., feature): the one-hot slots that are 1."""
-    names = [f"{c}_{v}" for c, values in fitted.categories.items() for v in values]
-    held = fitted.model.stages[0].transform(df)
-    return held.unpivot(ids, names, "feature", "on").where(F.col("on") == 1).drop("on")
+    columns = list(fitted.categories)
+    held = df
+    for stage in fitted.model.stages[:2]:  # filled texts, then their slots
+        held = stage.transform(held)
+    cases = F.array(*[
+        F.struct(F.concat(F.lit(f"{c}_"), F.col(f"text_{c}")).alias("feature"), (F.col(f"slot_{c}") < len(fitted.categories[c])).alias("known"))
+        for c in columns
+    ])
+    return held.select(*ids, F.inline(cases)).where("known").drop("known")

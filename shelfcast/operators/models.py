@@ -75,9 +75,10 @@ def search(
     """Cross-validate each parameter set and refit the best. Folds follow the row key, so a
     lost executor recomputes the same folds."""
     model = estimator(family, **fixed)
-    settings = [
-        {model.getParam(k): v for k, v in s.items() if model.hasParam(k)} for s in settings
-    ]
+    unknown = {k for s in settings for k in s if not model.hasParam(k)}
+    if unknown:
+        raise ValueError(f"{family} has no setting {sorted(unknown)}")
+    settings = [{model.getParam(k): v for k, v in s.items()} for s in settings]
     validator = CrossValidator(
         estimator=model, estimatorParamMaps=settings, numFolds=folds, foldCol="fold", parallelism=parallelism,
         evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName=metric),

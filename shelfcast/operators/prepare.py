@@ -30,17 +30,19 @@ def fill_constants(df: DataFrame, values: dict) -> DataFrame:
 
 def fill_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     """Nulls of each column replaced by that column's exact median (mean of the middle two)."""
-    medians = quantiles(df, columns, [0.5])
-    value = {c: medians.where(F.col("column") == c).select("q50").scalar() for c in columns}
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), value[c]) for c in columns})
+    # One row of all medians, read by one subquery.
+    found = quantiles(df, columns, [0.5]).agg(F.struct(*[F.max(F.when(F.col("column") == c, F.col("q50"))).alias(c) for c in columns])).scalar()
+    return df.withColumn("_medians", found).withColumns(
+        {c: F.coalesce(F.col(c).cast("double"), F.col("_medians")[c]) for c in columns}).drop("_medians")
 
 
 def fill_modes(df: DataFrame, columns: list[str]) -> DataFrame:
     """Nulls replaced by the most frequent value, the smallest on ties."""
     types = dict(df.dtypes)
-    return df.withColumns({
-        c: F.coalesce(F.col(c), modes(df, [c]).select("value").scalar().cast(types[c])) for c in columns
-    })
+    # One row of all modes, read by one subquery.
+    found = modes(df, columns).agg(F.struct(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns])).scalar()
+    return df.withColumn("_modes", found).withColumns(
+        {c: F.coalesce(F.col(c), F.col("_modes")[c].cast(types[c])) for c in columns}).drop("_modes")
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -77,10 +79,12 @@ def with_split(df: DataFrame, keys: tuple[str, ...] = ("Store", "Date"), cut: st
     return df.withColumn("split", F.when(hash_prefix(*keys) < cut, "test").otherwise("train"))
 
 
-def year_split(df: DataFrame, test_year: int, date: str = "Date") -> DataFrame:
-    """Years before ``test_year`` train, that year tests, later rows are left out."""
+def year_split(df: DataFrame, test_year: int | None = None, date: str = "Date") -> DataFrame:
+    """Years before ``test_year`` train, that year tests, later rows are left out. Without a
+    year the last one of the data tests, so no row is left out."""
     year = F.year(date)
-    return df.where(year <= test_year).withColumn("split", F.when(year < test_year, "train").otherwise("test"))
+    last = df.agg(F.max(year)).scalar() if test_year is None else F.lit(test_year)
+    return df.where(year <= last).withColumn("split", F.when(year < last, "train").otherwise("test"))
 
 
 def date_split(df: DataFrame, fraction: float = 0.9, date: str = "Date") -> DataFrame:

@@ -75,12 +75,18 @@ def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) ->
 
 def modes(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value) with the most frequent non-null value as text; the smallest on ties."""
-    parts = [
-        df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("rows"))
-        .agg(F.lit(c).alias("column"), F.min_by(F.col(c), F.struct(-F.col("rows"), F.col(c))).cast("string").alias("value"))
-        for c in columns
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    # One scan for all columns. Each keeps its own type beside the text, so that ties fall to the
+    # smallest value and not to the smallest text.
+    kinds = dict(df.dtypes)
+    cases = F.array(*[
+        F.struct(F.lit(c).alias("column"), *[F.when(F.lit(c == other), F.col(other)).cast(kinds[other]).alias(f"v_{k}")
+                                              for k, other in enumerate(columns)]) for c in columns
+    ])
+    values = [f"v_{k}" for k in range(len(columns))]
+    long = df.select(F.inline(cases)).where(reduce(lambda a, b: a | b, [F.col(v).isNotNull() for v in values]))
+    counted = long.groupBy("column", *values).agg(F.count("*").alias("rows"))
+    text = F.coalesce(*[F.col(v).cast("string") for v in values])
+    return counted.groupBy("column").agg(F.min_by(text, F.struct(-F.col("rows"), *values)).alias("value"))
 
 
 def running_counts(counts: DataFrame, by: list[str], weights: list[str]) -> DataFrame:

@@ -132,11 +132,11 @@ def feature_table(
 def latest_per_store(df: DataFrame, columns: list[str] | None = None, by: str = "Store", order: str = "Date") -> DataFrame:
     """Last known values per store, by partial aggregation: a hot store is folded before the shuffle.
 
-    One aggregate per column keeps the hash aggregate, which a struct would turn into a sort.
-    All of them follow the same order column, so they take the same row.
+    All values come from one row. Of rows with the same last date it is the one with the largest
+    values, compared in the order of ``columns``.
     """
     columns = columns or LAG_COLUMNS
-    return df.groupBy(by).agg(F.max(order).alias(order), *[F.max_by(c, order).alias(c) for c in columns])
+    return df.groupBy(by).agg(F.max(F.struct(order, *columns)).alias("_last")).select(by, "_last.*")
 
 
 def with_latest_lags(requests: DataFrame, latest: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -75,10 +75,10 @@ def null_counts(spark, sf_dir):
 
 
 @query("""select cast(coalesce(sum(n-1),0) as bigint) as duplicates, cast(sum(n) as bigint) as rows from (select count(*) as n from lineitem
- group by l_suppkey, l_shipdate, l_discount)""")
+ group by all)""".replace("select count(*) as n from lineitem", "select *, count(*) as n from lineitem"))
 def dup_count(spark, sf_dir):
-    """Repeats among (supplier, day, discount) rows, where there are some."""
-    return explore.duplicate_rows(table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_discount"))
+    """Repeats among whole rows."""
+    return explore.duplicate_rows(table(spark, sf_dir, "lineitem"))
 
 
 def _fence_sql(columns, source, beyond):
@@ -144,16 +144,16 @@ def inf_count(spark, sf_dir):
     return explore.infinite_counts(ratios, ["SalesPerCustomer", "SalesPerOpenDay"])
 
 
-@query(sql(" union all ".join(f"""select '{c}' as "column", bin, round(lo+(hi-lo)/50*bin,4) as bin_start, round(lo+(hi-lo)/50*(bin+1),4) as bin_end, count(*) as rows from
- (select lo, hi, cast(least(floor((v-lo)/(hi-lo)*50),49) as int) as bin from (select {c}::double as v from sales where {w}), (select min({c})::double as lo, max({c})::double as hi from sales where {w}))
- group by lo, hi, bin""" for c, w in [("Sales", "true"), ("Customers", "true")])))
+@query(sql(" union all ".join(f"""select '{c}' as "column", bin, round(lo+(hi-lo)/50*bin,4) as bin_start, round(lo+(hi-lo)/50*(bin+1),4) as bin_end, coalesce(n,0) as rows from
+ (select min({c})::double as lo, max({c})::double as hi from sales where {w}), (select cast(range as int) as bin from range(50)) left join
+ (select cast(least(floor((v-lo)/(hi-lo)*50),49) as int) as bin, count(*) as n from (select {c}::double as v from sales where {w}), (select min({c})::double as lo, max({c})::double as hi from sales where {w}) group by 1) using (bin)""" for c, w in [("Sales", "true"), ("Customers", "true")])))
 def histogram50(spark, sf_dir):
     return rounded(explore.histogram(sales(spark, sf_dir), ["Sales", "Customers"]), "bin_start", "bin_end", places=4)
 
 
-@query(sql("""select 'Sales' as "column", bin, round(lo+(hi-lo)/50*bin,4) as bin_start, round(lo+(hi-lo)/50*(bin+1),4) as bin_end, count(*) as rows from
- (select lo, hi, cast(least(floor((v-lo)/(hi-lo)*50),49) as int) as bin from (select Sales::double as v from sales where Sales>0), (select min(Sales)::double as lo, max(Sales)::double as hi from sales where Sales>0))
- group by lo, hi, bin"""))
+@query(sql("""select 'Sales' as "column", bin, round(lo+(hi-lo)/50*bin,4) as bin_start, round(lo+(hi-lo)/50*(bin+1),4) as bin_end, coalesce(n,0) as rows from
+ (select min(Sales)::double as lo, max(Sales)::double as hi from sales where Sales>0), (select cast(range as int) as bin from range(50)) left join
+ (select cast(least(floor((v-lo)/(hi-lo)*50),49) as int) as bin, count(*) as n from (select Sales::double as v from sales where Sales>0), (select min(Sales)::double as lo, max(Sales)::double as hi from sales where Sales>0) group by 1) using (bin)"""))
 def histogram_positive(spark, sf_dir):
     return rounded(explore.histogram(sales(spark, sf_dir).where("Sales > 0"), ["Sales"]), "bin_start", "bin_end", places=4)
 

@@ -112,7 +112,7 @@ def promotion_gate(spark, sf_dir):
 def actual_vs_predicted(spark, sf_dir):
     out = _scored(spark, sf_dir).where("split = 'test'")
     return out.select("Store", day_text().alias("Date"), F.round(F.col("Sales").cast("double"), 2).alias("actual"),
-                      F.round("prediction", 2).alias("predicted")).orderBy("Store", "Date")
+                      F.round("prediction", 2).alias("predicted"))
 
 
 def _requests(spark, sf_dir):

@@ -110,9 +110,9 @@ def log_transform(spark, sf_dir):
  when 'c' then 'Standard Supermarket' else 'Extra-Large Hypermarket' end as StoreLabel,
  case Assortment when 'a' then 'Basic (Essential Items Only)' when 'b' then 'Extended (Wide Selection)' else 'Extra (Premium + Niche Items)' end as AssortmentLabel,
  StoreType as StoreCode, cast((CompetitionDistance/1000)*1000 as double) as Metres,
- concat('$', printf('%,.2f', CompetitionDistance)) as Money from store where CompetitionDistance is not null"""))
+ '$' || printf('%,.2f', CompetitionDistance) as Money from store"""))
 def label_maps(spark, sf_dir):
-    labelled = store(spark, sf_dir).where(F.col("CompetitionDistance").isNotNull()).select(
+    labelled = store(spark, sf_dir).select(
         "Store", B.code_to_label("StoreType", B.STORE_TYPE_LABELS).alias("StoreLabel"),
         B.code_to_label("Assortment", B.ASSORTMENT_LABELS).alias("AssortmentLabel"), "CompetitionDistance",
     )
@@ -151,9 +151,9 @@ def split_hash(spark, sf_dir):
     return prepare.with_split(sales(spark, sf_dir)).select("Store", day_text().alias("Date"), "split")
 
 
-@query(sql("select Store, cast(Date as varchar) as Date, case when year(Date) < 1997 then 'train' else 'test' end as split from sales where year(Date) <= 1997"))
+@query(sql("select Store, cast(Date as varchar) as Date, case when year(Date) < (select max(year(Date)) from sales) then 'train' else 'test' end as split from sales"))
 def split_year(spark, sf_dir):
-    return prepare.year_split(sales(spark, sf_dir), 1997).select("Store", day_text().alias("Date"), "split")
+    return prepare.year_split(sales(spark, sf_dir)).select("Store", day_text().alias("Date"), "split")
 
 
 @query(sql("""select Store, cast(Date as varchar) as Date, case when Date <= (select min(Date) from running where seen >= floor(total*0.9::double)) then 'train' else 'test' end as split from sales""",
@@ -182,11 +182,11 @@ def set_difference(spark, sf_dir):
     return prepare.outside_allowed(merged(spark, sf_dir), {"StateHoliday": ("0", "a"), "StoreType": ("a", "b")})
 
 
-@query(sql("""select cast(Date as varchar) as Date, Store, Customers, Promo from sales where Open = 1"""))
+@query(sql("""select cast(Date as varchar) as Date, Store, Customers, Promo from sales"""))
 def shared_columns(spark, sf_dir):
     """Columns a log has in common with the facts, target left out, in the facts' order."""
     facts = sales(spark, sf_dir)
-    log = facts.where("Open = 1").select("Promo", "Store", "Sales", "Customers", "Date", F.lit(1).alias("Extra"))
+    log = facts.select("Promo", "Store", "Sales", "Customers", "Date", F.lit(1).alias("Extra"))
     return log.select(prepare.shared_columns(facts, log)).withColumn("Date", day_text())
 
 

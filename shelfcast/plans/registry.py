@@ -62,9 +62,12 @@ merged as (select sales.*, store.* exclude (Store) from sales left join store on
 SPLIT_SQL = "case when substr(md5(concat(cast(Store as varchar), '|', cast(Date as varchar))),1,4) < '3333' then 'test' else 'train' end"
 
 
+ONCE = ("training", "moments", "model")  # steps that the SQL reads several times
+
+
 def sql(body: str, **tables: str) -> str:
     """The canonical tables, further named subqueries in order, then the final SELECT."""
-    more = "".join(f",\n{name} as ({text})" for name, text in tables.items())
+    more = "".join(f",\n{name} as {'materialized ' if name in ONCE else ''}({text})" for name, text in tables.items())
     return f"{BASE}{more}\n{body}"
 
 

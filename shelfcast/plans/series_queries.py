@@ -64,18 +64,18 @@ _LOG_FEATURES_SQL = """select * from (select Store, cast(Date as varchar) as Dat
  Promo2, cast(case when coalesce(Promo2SinceYear,0)=0 then 0 else greatest(0.0, round((year(Date)-Promo2SinceYear)*12 + (week(Date)-Promo2SinceWeek)/4.345::double, 1)) end as double) as Promo2OpenMonths,
  cast(year(Date) as int) as Year, cast(month(Date) as int) as Month, cast(day(Date) as int) as Day, cast(week(Date) as int) as WeekOfYear, """ + ", ".join(
     f"round({c},6) as {c}" for c in _LOG_COLUMNS) + """ from logged)
- where lag_30 is not null and CompetitionDistance is not null and Year <= 1997"""
+ where lag_30 is not null and CompetitionDistance is not null"""
 
 
 @query(sql(_LOG_FEATURES_SQL, logged=_LOG_SQL))
 def feature_table_log(spark, sf_dir):
-    """The 24 features on log sales of open days, up to the test year 1997."""
+    """The 24 features on log sales of open days; the last year is for testing."""
     whole = ["CompetitionOpenSinceMonth", "CompetitionOpenSinceYear", "Promo2SinceWeek", "Promo2SinceYear"]
     filled = prepare.fill_constants(merged(spark, sf_dir), {**{c: 0 for c in whole}, "PromoInterval": "No Promo"})
     dated = with_date_parts(timeseries.with_log_lags(filled)).withColumns(
         {"CompetitionOpenMonths": competition_months(), "Promo2OpenMonths": promo_months()}
     )
-    kept = prepare.year_split(prepare.drop_null_rows(dated), 1997).withColumn("Date", day_text())
+    kept = prepare.year_split(prepare.drop_null_rows(dated)).withColumn("Date", day_text())
     return rounded(kept.select(*LOG_FEATURES[:1], "Date", *LOG_FEATURES[1:]), *_LOG_COLUMNS)
 
 
@@ -93,12 +93,12 @@ def latest_per_store(spark, sf_dir):
 
 @query(sql("""select t.Store, cast(Date as varchar) as Date, coalesce(l1,0.0)::double as sales_lag_1, l1 is not null as has_history
  from (select Store, Date from sales) t left join
- (select Store, lag1 as l1 from (select Store, Date, lag(Sales) over (partition by Store order by Date) as lag1 from sales where Store % 2 = 0)
+ (select Store, lag1 as l1 from (select Store, Date, lag(Sales) over (partition by Store order by Date) as lag1 from sales)
   qualify row_number() over (partition by Store order by Date desc) = 1) k on t.Store = k.Store"""))
 def lag_lookup(spark, sf_dir):
-    """Last lags joined to every store-day; only even stores have a history to look up."""
+    """Last lags joined to every store-day."""
     facts = sales(spark, sf_dir)
-    history = timeseries.with_production_lags(facts.where("Store % 2 = 0"), lags=(1,), means=())
+    history = timeseries.with_production_lags(facts, lags=(1,), means=())
     latest = timeseries.latest_per_store(history, ["sales_lag_1"])
     out = timeseries.with_latest_lags(facts.select("Store", "Date"), latest, ["sales_lag_1"])
     return out.select("Store", day_text().alias("Date"), "sales_lag_1", "has_history")
@@ -186,8 +186,4 @@ def onehot_features(spark, sf_dir):
     for c in CATEGORICAL_FEATURES), **_ROOMY_SQL))
 def aligned_categories(spark, sf_dir):
     """One-hot columns that encodings fitted on each split have in common."""
-    rows = _features(spark, sf_dir, ["sales_lag_30"])
-    train, test = (fit_features.fit(rows.where(F.col("split") == s), numeric=[]) for s in ("train", "test"))
-    shared = fit_features.shared_categories(train, test)
-    names = [f"{c}_{v}" for c, values in shared.items() for v in values]
-    return spark.createDataFrame([(n,) for n in names], "feature string")
+    return fit_features.common_categories(_features(spark, sf_dir, ["sales_lag_30"]), CATEGORICAL_FEATURES)
