@@ -23,7 +23,7 @@ GRIDS = {
     "RandomForest": {"numTrees": [50, 100, 200], "maxDepth": [5, 10, 15]},
     "GradientBoosting": {"stepSize": [0.01, 0.05, 0.1], "maxDepth": [3, 5, 7]},
 }
-RANDOM_SPACE = {"maxIter": [100, 300], "stepSize": [0.05, 0.1], "maxLeaves": [31, 50], "maxDepth": [10, 15]}
+RANDOM_SPACE = {"maxIter": [100, 300], "stepSize": [0.05, 0.1], "maxDepth": [10, 15]}
 SETTINGS = {
     "forest": {"numTrees": 50, "maxDepth": 15},
     "forest_default": {"numTrees": 100, "maxDepth": 10},
