@@ -186,6 +186,8 @@ def valid(table: DataFrame, id_column: str, vector: str) -> DataFrame:
 
 
 def matrix(column) -> np.ndarray:
+    if not len(column):
+        return np.zeros((0, 1))
     return np.frombuffer(b"".join(column), dtype="<f8").reshape(len(column), -1)
 
 
