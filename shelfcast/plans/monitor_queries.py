@@ -100,9 +100,23 @@ def stream_request_rate(spark, sf_dir):
     return rounded(out, "per_second").withColumn("window_start", time_text("window_start"))
 
 
-@query(f"{_LATENCY} where {_CLOSED} group by 1")
+def _bucket_sql(p: float) -> str:
+    """The value at a rank from counts in fixed buckets: the first bucket that reaches it."""
+    cases = []
+    for k, high in enumerate(monitor.BUCKETS):
+        low, under = (monitor.BUCKETS[k - 1], f"le{k - 1}") if k else (0.0, "0")
+        line = f"{low}::double + ({high}::double - {low}::double) * case when le{k} > {under} then (n * {p}::double - {under}) / (le{k} - {under})::double else 1.0 end"
+        cases.append(f"when le{k} >= n * {p}::double then {line}")
+    return f"round(case when n > 0 then case {' '.join(cases)} else {monitor.BUCKETS[-1]}::double end end, 6)"
+
+
+_BUCKETS = ", ".join(f"count(case when value <= {b}::double then 1 end) as le{k}" for k, b in enumerate(monitor.BUCKETS))
+
+
+@query(f"""select {_MINUTE.format('window_start')} as window_start, requests, {_bucket_sql(0.5)} as p50, {_bucket_sql(0.95)} as p95, {_bucket_sql(0.99)} as p99
+ from (select window_start, count(*) as requests, count(value) as n, {_BUCKETS} from {_SLIDING} where {_CLOSED} group by 1)""")
 def stream_latency(spark, sf_dir):
-    out = live.latency_percentiles(spark, sf_dir)
+    out = rounded(live.latency_percentiles(spark, sf_dir), "p50", "p95", "p99")
     return out.withColumn("window_start", time_text("window_start"))
 
 

@@ -22,7 +22,7 @@ def request_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_to_end(monitor.latency_percentiles(request_stream(spark, sf_dir)), "latency", start_files)
+    return run_to_end(monitor.latency_buckets(request_stream(spark, sf_dir)), "latency", start_files)
 
 
 def latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,3 +75,24 @@ def test_drift_checks_call_retraining_once_per_drifted_batch(spark, tmp_path):
     ).awaitTermination()
     rows = spark.read.parquet(f"{tmp_path}/out/drift").orderBy("batch_id").collect()
     assert [r["requires_retraining"] for r in rows] == [False, True] and calls == [1]
+
+
+def test_latency_is_exact_for_busy_windows(spark):
+    events = spark.range(30_000).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:30'").alias("ts"), F.lit("view").alias("event_type"),
+        (F.col("id") % 7).alias("user_id"), ((F.col("id") * 7919) % 30_000 / 10).alias("value"), F.lit(None).cast("string").alias("props"))
+    out = monitor.latency_percentiles(monitor.requests_from(events)).collect()
+    assert len(out) == 5 and {(r["requests"], r["p50"], r["p95"], r["p99"]) for r in out} == {(30_000, 1499.9, 2849.9, 2969.9)}
+
+
+def test_latency_buckets_interpolate(spark):
+    rows = spark.createDataFrame([(0.5,), (1.5,), (2.0,), (2000.0,), (None,)], "value double").select(
+        F.expr("timestamp'2024-01-01 00:00:30'").alias("ts"), "value")
+    row = monitor.latency_buckets(rows, [0.25, 0.5, 1.0]).first()
+    assert (row["requests"], row["p25"], row["p50"], row["p100"]) == (5, 1.0, 1.75, 1000.0)
+
+
+def test_running_total_over_days(spark):
+    rows = spark.createDataFrame([("2024-01-01 23:59:10",), ("2024-01-01 23:59:50",), ("2024-01-03 00:00:00",)], "t string").select(
+        F.to_timestamp("t").alias("ts"))
+    assert [(r["predictions"], r["total"]) for r in monitor.running_total(rows).orderBy("minute").collect()] == [(2, 2), (1, 3)]
