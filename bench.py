@@ -20,6 +20,7 @@ HEADLINE = [
     "mean_by_storetype_promo", "sum_by_year", "describe_sales", "iqr_outliers", "corr_matrix", "histogram50",
     "dup_count", "validation_report", "scaled_features", "eval_metrics", "forecast_linear_recursive", "whatif_uplift",
     "drift_summary", "knn_top10", "rerank_top3", "error_rate_5m", "latency_pcts", "last_gauge",
+    "running_predictions", "stream_latency", "stream_drift", "linear_predict",
 ]
 
 

@@ -213,7 +213,7 @@ def validation_report(spark, sf_dir):
     return validate.validate(_train(spark, sf_dir))
 
 
-@query(sql("""select failed = 0 as valid, failed as errors, 0::bigint as warnings, case when failed = 0 then '' else 'Range error: [Sales] maximum value ' || high || ' is above threshold 50000.' end as messages
+@query(sql("""select failed = 0 as valid, failed as errors, 0::bigint as warnings, case when failed = 0 then '' else 'Sales goes up to ' || high || '; at most 50000 is allowed.' end as messages
  from (select max(Sales) as high, cast(case when max(Sales) > 50000 then 1 else 0 end as bigint) as failed from train)""",
            train=f"select * from merged where {SPLIT_SQL} = 'train'"))
 def validation_status(spark, sf_dir):

@@ -102,7 +102,7 @@ def model_choice(spark, sf_dir):
 
 
 @query(sql("""select model, round(r2,6) as r2, case when r2 < 0.75 then 'None' when r2 > 0.8 then 'Production' else 'Staging' end as stage,
- case when r2 < 0.75 then printf('Registration skipped: Performance (%.4f) below threshold (0.75).', r2) when r2 > 0.8 then 'Success: promoted to ''Production''.' else 'Success: registered and promoted to ''Staging''.' end as status
+ case when r2 < 0.75 then printf('Not registered: r2 %.4f is under 0.75.', r2) when r2 > 0.8 then 'Registered for Production.' else 'Registered for Staging.' end as status
  from scores where split='test'""", **_MODELS_SQL))
 def promotion_gate(spark, sf_dir):
     return rounded(metrics.promotion(_scores(spark, sf_dir).where("split = 'test'")), "r2")
