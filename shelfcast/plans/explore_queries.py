@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.dates import has_time_of_day, with_date_parts, with_quarter
 from shelfcast.operators import explore, prepare, validate
 from shelfcast.plans.registry import SPLIT_SQL, query, rounded, sql
-from shelfcast.schemas import MERGED_RULES
+from shelfcast.schemas import MERGED_RULES, rules_from
 from shelfcast.sources.canonical import merged, sales, store, table
 
 
@@ -220,6 +220,44 @@ def validation_status(spark, sf_dir):
     return validate.status(validate.validate(_train(spark, sf_dir)))
 
 
+_DESCRIBED = {
+    "Store": {"dtype": "int64", "nullable": False},
+    "Sales": {"dtype": "int64", "nullable": False, "min": 0, "max": 50000},
+    "Promo": {"dtype": "int64", "nullable": False, "allowed_values": [0, 1]},
+    "DayOfWeek": {"dtype": "object"},
+    "Weather": {"dtype": "object"},
+}
+_FAULTY_SQL = "select Store, case when Store % 7 = 0 then -Sales else Sales end as Sales, case when Store % 5 = 0 then 2 else Promo end as Promo, DayOfWeek, case when Store % 3 = 0 then null else Open end as Open from sales"
+
+
+@query(sql("""select 'exists' as "check", c as "column", 'error' as severity, 'present' as observed, 'present' as expected, true as passed, null as message from (select unnest(['Store','Sales','Promo','DayOfWeek']) as c)
+ union all select 'exists', 'Weather', 'error', 'missing', 'present', false, 'There is no column Weather.'
+ union all select 'type', c, 'warning', k, 'integer', true, null from (select unnest(['Store','Sales','Promo']) as c, unnest(['bigint','bigint','int']) as k)
+ union all select 'type', 'DayOfWeek', 'warning', 'int', 'text', false, 'DayOfWeek should be text but is int.'
+ union all select 'not_null', c, 'error', '0', '0', true, null from (select unnest(['Store','Sales','Promo']) as c)
+ union all select 'minimum', 'Sales', 'error', cast(min(Sales) as varchar), '0', min(Sales) >= 0, case when min(Sales) < 0 then 'Sales goes down to ' || min(Sales) || '; at least 0 is allowed.' end from faulty
+ union all select 'maximum', 'Sales', 'error', cast(max(Sales) as varchar), '50000', max(Sales) <= 50000, case when max(Sales) > 50000 then 'Sales goes up to ' || max(Sales) || '; at most 50000 is allowed.' end from faulty
+ union all select 'allowed', 'Promo', 'error', cast(count(case when Promo not in (0,1) then 1 end) as varchar), '0,1', false, 'Promo is none of 0,1 in ' || count(case when Promo not in (0,1) then 1 end) || ' rows.' from faulty
+ union all select 'duplicates', '*', 'warning', cast(n as varchar), '0', n = 0, case when n > 0 then n || ' rows repeat an earlier row.' end from (select count(*) - (select count(*) from (select distinct * from faulty)) as n from faulty)""",
+           faulty=_FAULTY_SQL))
+def validation_described(spark, sf_dir):
+    """Rules read from a description, over facts with faults planted by arithmetic."""
+    facts = sales(spark, sf_dir)
+    faulty = facts.select(
+        "Store", F.when(F.col("Store") % 7 == 0, -F.col("Sales")).otherwise(F.col("Sales")).alias("Sales"),
+        F.when(F.col("Store") % 5 == 0, 2).otherwise(F.col("Promo")).alias("Promo"), "DayOfWeek",
+        F.when(F.col("Store") % 3 == 0, None).otherwise(F.col("Open")).alias("Open"),
+    )
+    return validate.with_messages(validate.validate(faulty, rules_from(_DESCRIBED)))
+
+
+@query(sql(f"select \"column\", value, count(*) as rows from (select 'Promo' as \"column\", cast(Promo as varchar) as value from ({_FAULTY_SQL})) where value not in ('0', '1') group by 1, 2"))
+def offending_values(spark, sf_dir):
+    """The values that break a rule, with their rows."""
+    facts = sales(spark, sf_dir).withColumn("Promo", F.when(F.col("Store") % 5 == 0, 2).otherwise(F.col("Promo")))
+    return validate.offenders(facts, rules_from(_DESCRIBED))
+
+
 @query(sql("select distinct PromoInterval as interval, trim(m) as month from store, unnest(string_split(PromoInterval, ',')) as t(m)"))
 def promo_months(spark, sf_dir):
     """The months listed in each promotion interval."""
