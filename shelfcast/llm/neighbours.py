@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from shelfcast.session import written
 
 DIRECTIONS = 8
-SURE = 0.985
+SURE = 0.95
 SAMPLE = 8192  # vectors that place the cells
 PART = 8192  # vectors in one part of a cell, about
 MOST_CELLS = 4096
-LEAF = 32
+LEAF = 128
 
 
 def chi_square_above(x: float, degrees: int) -> float:
@@ -86,13 +86,16 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def cosines(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Cosines in double precision on the vectors as given, summed in one fixed order."""
-    with np.errstate(over="ignore", invalid="ignore"):
-        found = np.einsum("ij,j->i", vectors, query) / (
-            np.sqrt(np.einsum("ij,ij->i", vectors, vectors)) * np.sqrt(np.einsum("j,j->", query, query)))
-    odd = ~np.isfinite(found)
-    if odd.any():
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+
+
+def cosines(vectors: np.ndarray, norms: np.ndarray, query: np.ndarray, norm: float) -> np.ndarray:
+    """Cosines in double precision on the vectors as given, from their lengths."""
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        found = np.einsum("ij,j->i", vectors, query) / (norms * norm)
+    odd = ~(np.isfinite(found) & (norms > 0) & (norm > 0))
+    if odd.any():  # too large or small to be squared
         found[odd] = unit(vectors[odd]) @ unit(query[None])[0]
     return found
 
@@ -142,25 +145,32 @@ class Tree:
 
     def __init__(self, vectors: np.ndarray, ids: list[np.ndarray], cells: Cells):
         points = cells.project(vectors)
-        self.vectors, self.ids = vectors, ids
-        self.leaves = [leaf for leaf in split(points, 1 << max(0, math.ceil(math.log2(max(1, len(points) / LEAF))))) if len(leaf)]
-        self.low = np.array([points[leaf].min(axis=0) for leaf in self.leaves])
-        self.high = np.array([points[leaf].max(axis=0) for leaf in self.leaves])
+        leaves = [leaf for leaf in split(points, 1 << max(0, math.ceil(math.log2(max(1, len(points) / LEAF))))) if len(leaf)]
+        self.low = np.array([points[leaf].min(axis=0) for leaf in leaves])
+        self.high = np.array([points[leaf].max(axis=0) for leaf in leaves])
+        # Vectors lie leaf by leaf, so a leaf is a slice.
+        order = np.concatenate(leaves)
+        self.vectors, self.ids = vectors[order], [ids[k] for k in order]
+        self.norms, self.bounds = lengths(self.vectors), np.concatenate([[0], np.cumsum([len(leaf) for leaf in leaves])]).tolist()
 
     def search(self, query: np.ndarray, point: np.ndarray, count: int, limit: float, worst: float) -> list[tuple[float, int]]:
         """The best (cosine, id) of this part. ``worst``: a squared distance known to hold
         ``count`` vectors elsewhere."""
         gap = np.maximum(np.maximum(self.low - point, point - self.high), 0)
         apart = (gap * gap).sum(axis=1)
+        norm = float(lengths(query[None])[0])
         best: list[tuple[float, int]] = []
-        for k in np.argsort(apart, kind="stable"):
-            if apart[k] > limit * worst:
+        order = np.argsort(apart, kind="stable")
+        for k, far in zip(order.tolist(), apart[order].tolist()):
+            if far > limit * worst:
                 break
-            leaf = self.leaves[k]
-            found = cosines(self.vectors[leaf], query)
-            near = np.flatnonzero(2 - 2 * found <= worst + 1e-9)
+            a, b = self.bounds[k], self.bounds[k + 1]
+            found = cosines(self.vectors[a:b], self.norms[a:b], query, norm)
+            near = np.flatnonzero(found >= 1 - worst / 2 - 1e-9)
+            if len(near) > count:  # ties beyond the last are kept
+                near = near[found[near] >= np.partition(found[near], len(near) - count)[len(near) - count]]
             if len(near):
-                best += [(-float(found[x]), int(i)) for x in near for i in self.ids[leaf[x]]]
+                best += [(-float(found[x]), int(i)) for x in near for i in self.ids[a + x]]
                 best = sorted(best)[:count]
                 if len(best) == count:
                     worst = min(worst, max(2 + 2 * best[-1][0], 0.0))
