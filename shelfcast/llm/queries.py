@@ -15,9 +15,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(function):
-    QUERIES[function.__name__] = function
-    return function
+def query(function=None, *, oracle: str | None = None):
+    """Register a function under its own name, with SQL for the same rows if there is any."""
+    def register(function):
+        QUERIES[function.__name__] = function
+        if oracle is not None:
+            ORACLES[function.__name__] = oracle
+        return function
+
+    return register if function is None else register(function)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,7 +93,18 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~F.col("base_failed") & F.col("verdict")).alias("kept"))
 
 
-@query
+JACCARD_SQL = """with recursive words as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+ shingles as materialized (select distinct doc_id, unnest(case when len(w) >= 3 then list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2])
+  when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g from words),
+ sizes as materialized (select doc_id, count(*) as n from shingles group by 1),
+ common as (select a.doc_id as a, b.doc_id as b, count(*) as i from shingles a join shingles b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+ links as materialized (select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * i >= 90 * (x.n + y.n - i)),
+ reach as (select doc_id as a, doc_id as c from documents union select reach.a, links.b from reach join links on reach.c = links.a)
+ select d.doc_id, coalesce(any_value(n), 0) as n_shingles, min(c) as component_id from documents d join reach on reach.a = d.doc_id left join sizes s on s.doc_id = d.doc_id group by 1"""
+
+
+@query(oracle=JACCARD_SQL)
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of three-word shingles are similar by 0.9 or more."""
     return parity.similar(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
