@@ -111,7 +111,7 @@ def test_similar_edges(edge_docs, no_docs):
 
 
 def brute_lines(docs):
-    rows = [(d, k, line.strip(" ").lower()) for d, t in sorted(docs.items()) if t is not None for k, line in enumerate(t.split("\n"))]
+    rows = [(d, k, line.strip(" ")) for d, t in sorted(docs.items()) if t is not None for k, line in enumerate(t.split("\n"))]
     rows = [r for r in rows if len(r[2]) >= linededup.LEAST]
     grams = {line: {line[k:k + 5] for k in range(len(line) - 4)} for _, _, line in rows}
     sets = Sets()
