@@ -146,6 +146,16 @@ def test_lines_equal_all_pairs(spark):
         assert shorter[d] == "\n".join(line for k, line in enumerate(text.split("\n")) if k not in set(got[d]["removed"]))
 
 
+def test_lines_fold_case(spark):
+    rng = random.Random(8)
+    heads = [" ".join(words(rng, 12)) for _ in range(20)]
+    docs = {k: text for k, text in enumerate([*heads, *map(str.upper, heads), *map(str.title, heads)])}
+    assert linededup.BANDS == 10
+    got = linededup.report(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")).collect()
+    want = brute_lines({d: t.lower() for d, t in docs.items()})
+    assert {r["doc_id"]: set(r["removed"]) for r in got if r["n_removed"]} == want and len(want) == 40
+
+
 def test_line_plan_has_no_python(spark, edge_docs):
     plan = linededup.remove(edge_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
