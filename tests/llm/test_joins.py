@@ -156,6 +156,20 @@ def test_lines_fold_case(spark):
     assert {r["doc_id"]: set(r["removed"]) for r in got if r["n_removed"]} == want and len(want) == 40
 
 
+def test_lines_without_spaces(spark):
+    rng, docs = random.Random(11), {}
+    for k in range(0, 120, 2):
+        line = [chr(rng.randrange(0x4E00, 0x5E00)) for _ in range(rng.randrange(50, 120))]
+        docs[k] = "".join(line)
+        line[rng.randrange(len(line))] = "\u3042"
+        docs[k + 1] = "".join(line)
+    for k, line in ((200, "0123456789"), (210, "\U0001F389\U0001F38A\U0001F38B\U0001F38C\U0001F38D\U0001F38E")):  # few distinct shingles, lengths apart
+        docs[k], docs[k + 1] = line * 10, line * 30
+    got = linededup.report(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")).collect()
+    want = brute_lines(docs)
+    assert {r["doc_id"] for r in got if r["n_removed"]} == set(want) and len(want) >= 60
+
+
 def test_line_plan_has_no_python(spark, edge_docs):
     plan = linededup.remove(edge_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
