@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast.llm import components, linededup, neighbours, parity
 from tests.llm.conftest import words
@@ -150,7 +151,6 @@ def test_lines_fold_case(spark):
     rng = random.Random(8)
     heads = [" ".join(words(rng, 12)) for _ in range(20)]
     docs = {k: text for k, text in enumerate([*heads, *map(str.upper, heads), *map(str.title, heads)])}
-    assert linededup.BANDS == 10
     got = linededup.report(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")).collect()
     want = brute_lines({d: t.lower() for d, t in docs.items()})
     assert {r["doc_id"]: set(r["removed"]) for r in got if r["n_removed"]} == want and len(want) == 40
@@ -170,6 +170,20 @@ def test_lines_without_spaces(spark):
     assert {r["doc_id"] for r in got if r["n_removed"]} == set(want) and len(want) >= 60
 
 
+def test_lines_inside_a_band(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "BLOCK", 7)
+    one = [F.lit(k).cast("bigint").alias(f"band_{k}") for k in range(linededup.BANDS)]
+    monkeypatch.setattr(linededup, "bands", lambda lines: lines.drop("line").select("*", *one))  # all lines share all bands
+    rng, docs = random.Random(21), {}
+    for _ in range(25):
+        base = words(rng, 24)
+        for _ in range(rng.choice([1, 2, 2, 3])):
+            docs[len(docs)] = " ".join(edited(rng, base, 1))
+    got = linededup.report(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string").repartition(3)).collect()
+    want = brute_lines(docs)
+    assert {r["doc_id"] for r in got if r["n_removed"]} == set(want) and len(want) > 10
+
+
 def test_line_plan_has_no_python(spark, edge_docs):
     plan = linededup.remove(edge_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
