@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from shelfcast.session import written
 
 SALTS = 32  # parts into which pages of a host are dealt to meet their wrapper
-LEAST_PAGES = 3  # pages of equal text that make a text part of the template
+LEAST_PAGES = 3  # distinct pages of equal text that make a text part of the template
+SHARE = 20  # and so many percent of the host's distinct pages
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -195,9 +196,50 @@ def folded(node: Node) -> Node:
     return out
 
 
+def prefix_lengths(x: list[str], y: list[str]) -> list[int]:
+    """Length of a longest common subsequence of x and each beginning of y, with the rows of the
+    table as bits of one number."""
+    places: dict[str, int] = {}
+    for j, key in enumerate(y):
+        places[key] = places.get(key, 0) | 1 << j
+    full = (1 << len(y)) - 1
+    row = full
+    for key in x:
+        met = row & places.get(key, 0)
+        row = (row + met | row - met) & full
+    out = [0]
+    for bit in reversed(format(row, f"0{len(y)}b")):
+        out.append(out[-1] + (bit == "0"))
+    return out
+
+
+def longest(x: list[str], y: list[str]) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence; long lists are halved first, so the table is small."""
+    if not x or not y:
+        return []
+    if len(x) * len(y) > 100_000 and len(x) > 1:
+        half = len(x) // 2
+        ahead, behind = prefix_lengths(x[:half], y), prefix_lengths(x[:half - 1:-1], y[::-1])
+        cut = max(range(len(y) + 1), key=lambda j: ahead[j] + behind[len(y) - j])
+        return longest(x[:half], y[:cut]) + [(half + i, cut + j) for i, j in longest(x[half:], y[cut:])]
+    lengths = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i in range(len(x) - 1, -1, -1):
+        for j in range(len(y) - 1, -1, -1):
+            lengths[i][j] = lengths[i + 1][j + 1] + 1 if x[i] == y[j] else max(lengths[i + 1][j], lengths[i][j + 1])
+    pairs, i, j = [], 0, 0
+    while i < len(x) and j < len(y):
+        if x[i] == y[j]:
+            pairs.append((i, j))
+            i, j = i + 1, j + 1
+        elif lengths[i + 1][j] >= lengths[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return pairs
+
+
 def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """Places of a common subsequence: a longest one between what both begin and end with, or,
-    where that would take long, the next equal tag each time."""
+    """Places of a common subsequence: a longest one between what both begin and end with."""
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
         head += 1
@@ -205,29 +247,7 @@ def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
         tail += 1
     x, y = a[head:len(a) - tail], b[head:len(b) - tail]
-    pairs, i, j = [(k, k) for k in range(head)], 0, 0
-    if len(x) * len(y) > 100_000:
-        for i, key in enumerate(x):
-            try:
-                at = y.index(key, j, j + 256)
-            except ValueError:
-                continue
-            pairs.append((head + i, head + at))
-            j = at + 1
-    elif x and y:
-        lengths = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i in range(len(x) - 1, -1, -1):
-            for j in range(len(y) - 1, -1, -1):
-                lengths[i][j] = lengths[i + 1][j + 1] + 1 if x[i] == y[j] else max(lengths[i + 1][j], lengths[i][j + 1])
-        i = j = 0
-        while i < len(x) and j < len(y):
-            if x[i] == y[j]:
-                pairs.append((head + i, head + j))
-                i, j = i + 1, j + 1
-            elif lengths[i + 1][j] >= lengths[i][j + 1]:
-                i += 1
-            else:
-                j += 1
+    pairs = [(k, k) for k in range(head)] + [(head + i, head + j) for i, j in longest(x, y)]
     return pairs + [(len(a) - k, len(b) - k) for k in range(tail, 0, -1)]
 
 
@@ -257,10 +277,14 @@ def expression(node: Node) -> str:
 
 
 def mark(root: Node, pages: int) -> None:
-    """Set ``here`` of every tag to ["keep"] if its texts belong to the article."""
+    """Set ``here`` of every tag of the article: to "keep" if its texts belong to it, else to
+    "template"; "sure" is added where a tag names the article."""
     named: list[Node] = []
     best: tuple[int, Node | None] = (0, None)
 
+    def template(node: Node) -> bool:
+        return node.text not in (None, -1) and node.pages >= LEAST_PAGES and 100 * node.pages >= SHARE * pages
+
     def find(node: Node, inside: bool) -> int:
         nonlocal best
         if clutter(node.key) or node.tag == "header" and not inside:
@@ -269,8 +293,7 @@ def mark(root: Node, pages: int) -> None:
         name = words[0] in ("article", "main") or bool(_ARTICLE.intersection(words[1:]))
         if name and not inside:
             named.append(node)
-        template = node.text not in (None, -1) and pages >= LEAST_PAGES and node.pages >= LEAST_PAGES
-        own = 0 if template else node.chars - 2 * node.linked
+        own = 0 if template(node) else node.chars - 2 * node.linked
         direct = own
         for child in node.children:
             found = find(child, inside or name)
@@ -286,8 +309,8 @@ def mark(root: Node, pages: int) -> None:
     def keep(node: Node, inside: bool, sure: bool) -> None:
         if clutter(node.key) or node.tag == "header" and "header" in node.key.split(".")[1:] and not sure:
             return
-        if inside and (sure or not (node.text not in (None, -1) and pages >= LEAST_PAGES and node.pages >= LEAST_PAGES)):
-            node.here = ["keep"]
+        if inside:
+            node.here = ["keep", "sure"] if sure else ["template"] if template(node) else ["keep"]
         for child in node.children:
             keep(child, inside, sure)
 
@@ -300,17 +323,30 @@ def _chars(node: Node) -> int:
 
 
 def extract(page: str, wrapper: Node | None) -> str:
-    """The article of a page, by a marked wrapper or, without one or without its article, alone."""
+    """The article of a page, by a marked wrapper or, without one or without its article, alone.
+    Inside the article a tag that the wrapper does not match stays, unless it is clutter."""
     root, texts = parse(page)
     kept: set[int] = set()
 
+    def take(node: Node, sure: bool) -> None:
+        if clutter(node.key) or node.tag == "header" and "header" in node.key.split(".")[1:] and not sure:
+            return
+        kept.add(id(node))
+        for child in node.children:
+            take(child, sure)
+
     def match(node: Node, pattern: Node) -> None:
-        if pattern.here:
+        # A text other than the template's is the page's own.
+        if "keep" in pattern.here or pattern.here and node.text != pattern.text:
             kept.add(id(node))
         parts = groups(node.children)
-        for x, y in common([key for key, _ in parts], [c.key for c in pattern.children]):
-            for child in parts[x][1]:
-                match(child, pattern.children[y])
+        places = dict(common([key for key, _ in parts], [c.key for c in pattern.children]))
+        for x, (_, same) in enumerate(parts):
+            for child in same:
+                if x in places:
+                    match(child, pattern.children[places[x]])
+                elif pattern.here:
+                    take(child, "sure" in pattern.here)
 
     if wrapper is not None:
         match(root, wrapper)
@@ -337,16 +373,18 @@ def host_of(url: str = "url"):
 
 
 def infer(pages: DataFrame, url: str = "url", markup: str = "html") -> DataFrame:
-    """(host, pages, wrapper, expression) of every host."""
+    """(host, pages, wrapper, expression) of every host; copies of a page count as pages, but are
+    aligned once."""
     def part(batches):
         for batch in batches:
             held: dict[str, list] = {}
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for host, page, copies in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 tree = folded(parse(page)[0])
                 known = held.get(host)
-                held[host] = [1, tree] if known is None else [known[0] + 1, aligned(known[1], tree)]
+                held[host] = [1, tree, copies] if known is None else [known[0] + 1, aligned(known[1], tree), known[2] + copies]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(held)), pa.array([json.dumps([n, t.dump()]) for n, t in held.values()])], names=["host", "wrapper"])
+                [pa.array(list(held), pa.string()), pa.array([json.dumps([n, t.dump()]) for n, t, _ in held.values()], pa.string()),
+                 pa.array([rows for *_, rows in held.values()], pa.int64())], names=["host", "wrapper", "rows"])
 
     def whole(key, pdf: pd.DataFrame) -> pd.DataFrame:
         # Partial wrappers are few: one for each batch of rows. Sorted, they give one result.
@@ -355,10 +393,13 @@ def infer(pages: DataFrame, url: str = "url", markup: str = "html") -> DataFrame
             n, parts = json.loads(text)
             node = Node.read(parts)
             total, tree = total + n, node if tree is None else aligned(tree, node)
-        return pd.DataFrame({"host": [key[0]], "pages": [total], "wrapper": [json.dumps([total, tree.dump()])], "expression": [expression(tree)]})
+        return pd.DataFrame({"host": [key[0]], "pages": [int(pdf["rows"].sum())], "wrapper": [json.dumps([total, tree.dump()])], "expression": [expression(tree)]})
 
     source = pages.select(host_of(url).alias("host"), F.coalesce(F.col(markup).cast("string"), F.lit("")).alias("page"))
-    return source.mapInArrow(part, "host string, wrapper string").groupBy("host").applyInPandas(
+    # Copies of a page say nothing about the host's template.
+    distinct = source.groupBy("host", F.xxhash64("page").alias("digest")).agg(
+        F.any_value("page").alias("page"), F.count("*").alias("rows")).select("host", "page", "rows")
+    return distinct.mapInArrow(part, "host string, wrapper string, rows bigint").groupBy("host").applyInPandas(
         whole, "host string, pages bigint, wrapper string, expression string")
 
 

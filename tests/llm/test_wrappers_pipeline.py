@@ -1,4 +1,7 @@
 import importlib.util
+import itertools
+import json
+import random
 import sys
 
 import public_tokenizers
@@ -52,6 +55,43 @@ def test_alignment_makes_groups_optional_and_repeated():
     assert len(pairs) > 1000 and all(long[i] == other[j] for i, j in pairs) and all(a < c and b < d for (a, b), (c, d) in zip(pairs, pairs[1:]))
 
 
+def test_unmatched_tags_of_an_article_stay():
+    bodies = ["<div>a</div><p>b</p><h2>c</h2><div>d</div>", "<div>e</div><h2>f</h2><div><table><tr><td>lost</td></tr></table></div>",
+              "<div>g</div><h2>h</h2><div><p>i</p></div><p>j</p><h2>k</h2><div>l</div>"]
+    made = [f"<body><nav>n</nav><article>{b}<aside>no</aside></article></body>" for b in bodies]
+    trees = [wrappers.folded(wrappers.parse(m)[0]) for m in made]
+    wrapper = wrappers.aligned(wrappers.aligned(trees[0], trees[1]), trees[2])
+    wrappers.mark(wrapper, 3)
+    assert [wrappers.extract(m, wrapper).split() for m in made] == [list("abcd"), ["e", "f", "lost"], list("ghijkl")]
+    unseen = made[0].replace("<aside>", "<section><p>new</p><nav>no</nav></section><aside>")
+    assert wrappers.extract(unseen, wrapper).split() == [*"abcd", "new"]
+
+
+def test_long_alignment_is_longest():
+    x, y = ["s", *["a", "b"] * 300], ["t", *["c"] * 900, *["a", "b"] * 300, "u"]
+    assert len(wrappers.common(x, y)) == 600
+    rng = random.Random(2)
+    x, y = ([rng.choice("abcdef") for _ in range(n)] for n in (420, 390))
+    row = [0] * (len(y) + 1)
+    for key in x:
+        row = list(itertools.accumulate(range(1, len(y) + 1), lambda left, j: row[j - 1] + 1 if key == y[j - 1] else max(row[j], left), initial=0))
+    pairs = wrappers.common(x, y)
+    assert len(pairs) == row[-1] and all(x[i] == y[j] for i, j in pairs) and all(a < c and b < d for (a, b), (c, d) in zip(pairs, pairs[1:]))
+
+
+def test_template_needs_distinct_pages_and_a_share(spark):
+    rows = [(k, "https://h.example/", "<body><div><p>only text of a page</p></div></body>") for k in range(4)]
+    found = wrappers.infer(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(2)).collect()
+    assert [(r["pages"], json.loads(r["wrapper"])[0]) for r in found] == [(4, 1)]
+    few = [f"<body><div><p>text {k}</p>{'<h2>Summary</h2>' if k < 3 else ''}</div></body>" for k in range(40)]
+    tree = None
+    for page_ in few:
+        made = wrappers.folded(wrappers.parse(page_)[0])
+        tree = made if tree is None else wrappers.aligned(tree, made)
+    wrappers.mark(tree, 40)
+    assert wrappers.extract(few[0], tree) == "text 0\n\nSummary"
+
+
 def test_queries_are_registered():
     names = set(__spark_entry__.queries())
     assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11)) and "pipeline" in names
