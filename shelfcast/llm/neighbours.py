@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from shelfcast.session import written
 
 DIRECTIONS = 8
-SURE = 0.95
+SURE = 0.985
 SAMPLE = 8192  # vectors that place the cells
 PART = 8192  # vectors in one part of a cell, about
 MOST_CELLS = 4096

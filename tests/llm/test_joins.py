@@ -1,4 +1,5 @@
 import collections
+import inspect
 import itertools
 import random
 import re
@@ -230,6 +231,10 @@ def test_neighbours_equal_brute_force(spark):
     assert all(abs(s - exact[q][j]) < 1e-9 for q in got for j, s, _ in got[q] if j in exact[q])
 
 
+def test_neighbours_stop_late_enough():
+    assert inspect.signature(neighbours.search).parameters["sure"].default >= 0.985  # each true neighbour's loss is 1.5 % at most
+
+
 def test_neighbours_edges(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0]), (50, [1.0, 1.0])], "vec_id bigint, embedding array<float>")
     got = neighbours.search(few, few.vec_id % 50 == 0).orderBy("query_id", "rank").collect()
