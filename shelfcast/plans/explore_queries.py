@@ -220,7 +220,7 @@ def validation_status(spark, sf_dir):
     return validate.status(validate.validate(_train(spark, sf_dir)))
 
 
-_DESCRIBED = {
+_RULE_TEXT = {
     "Store": {"dtype": "int64", "nullable": False},
     "Sales": {"dtype": "int64", "nullable": False, "min": 0, "max": 50000},
     "Promo": {"dtype": "int64", "nullable": False, "allowed_values": [0, 1]},
@@ -248,14 +248,14 @@ def validation_described(spark, sf_dir):
         F.when(F.col("Store") % 5 == 0, 2).otherwise(F.col("Promo")).alias("Promo"), "DayOfWeek",
         F.when(F.col("Store") % 3 == 0, None).otherwise(F.col("Open")).alias("Open"),
     )
-    return validate.with_messages(validate.validate(faulty, rules_from(_DESCRIBED)))
+    return validate.with_messages(validate.validate(faulty, rules_from(_RULE_TEXT)))
 
 
 @query(sql(f"select \"column\", value, count(*) as rows from (select 'Promo' as \"column\", cast(Promo as varchar) as value from ({_FAULTY_SQL})) where value not in ('0', '1') group by 1, 2"))
 def offending_values(spark, sf_dir):
     """The values that break a rule, with their rows."""
     facts = sales(spark, sf_dir).withColumn("Promo", F.when(F.col("Store") % 5 == 0, 2).otherwise(F.col("Promo")))
-    return validate.offenders(facts, rules_from(_DESCRIBED))
+    return validate.offenders(facts, rules_from(_RULE_TEXT))
 
 
 @query(sql("select distinct PromoInterval as interval, trim(m) as month from store, unnest(string_split(PromoInterval, ',')) as t(m)"))
