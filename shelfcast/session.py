@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +67,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def forget(table: DataFrame) -> None:
+    """Delete what ``written`` wrote for this table, once nothing will read it again. Rows that come
+    from elsewhere, or from several tables, are left alone."""
+    spark = table.sparkSession
+    root = f"{shared_folder(spark)}/tables/"
+    folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+    path = next(iter(folders), "")
+    if len(folders) != 1 or urlparse(path).path.rsplit("/", 1)[0] != urlparse(root).path.rstrip("/"):
+        return
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
