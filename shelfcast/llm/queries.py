@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, linededup, lm, neighbours, packing, parity, quality, rules, toxicity, wrappers
+from shelfcast.llm import bpe, codes, linededup, lm, neighbours, packing, parity, quality, rules, tokenfile, toxicity, whitening, wrappers
 from shelfcast.llm.columns import fold, texts_only
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,26 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@query
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, how far they are from what the codes stand for, and the codebooks' digest."""
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return codes.with_group_error(coded).select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("codes")).alias("code"), "error", "label_error",
+        F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the sixteen leading components, with unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).select(
+        F.col("id").alias("vec_id"), "component", "n", "deviation", "whitened", "explained", "identity_error", "residual", "passes")
+
+
+@query
+def op13_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as their token files hold them."""
+    folder = tokenfile.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfile.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
