@@ -11,14 +11,14 @@ A folder holds, for every part p of the corpus in order of the identifier:
 and ``manifest``, a Parquet table with a row for each part: part, width (bytes of an id), docs, ids,
 first_doc and first_id (what lies before the part). Readers map the files into memory.
 
-Documents are encoded where they lie, dealt by ranges of the identifier and written as they come, so
-a task holds one block of documents. A part knows its place only when all parts are counted:
+Texts are dealt by ranges of the identifier, encoded in order and written as they come, so a task
+holds one block of documents. A part knows its place only when all parts are counted:
 the prefix sums run over the manifest, one row a part, and a second pass over the lengths writes
 the offsets. All files are written under a draft name and renamed, so a repeated task replaces a
 file by the same bytes.
 
 Null and empty texts are documents of the closing id alone. Null identifiers come first. Documents
-that share an identifier are ordered by their ids' hash; repeated rows are documents of their own,
+that share an identifier are ordered by their texts' hash; repeated rows are documents of their own,
 and any number of them is dealt over several parts. An empty table gives a manifest without rows.
 Extra columns are dropped, whatever their names.
 """
@@ -107,41 +107,32 @@ def identifiers(folder: str, part: int) -> Iterator[pa.Array]:
             yield reader.get_batch(k).column(0)
 
 
-def encoded(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
-    """Identifier and flat ids of every document, ``end_id`` at its end."""
-    source, width = texts_only(docs, id_column, text), id_width(path, end_id)
-    kind = source.schema[0].dataType.simpleString()
+def encoded(path: str, texts: pa.Array, width: int, end_id: int) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Rows from, rows to, and the flat ids of those texts, ``end_id`` at the end of each."""
     end = np.array([end_id], dtype="<u4").tobytes()
-
-    def run(batches):
-        for batch in batches:
-            for low, high, _, data, offsets in blocks(batch.column(1)):
-                bounds, flat = offsets.tolist(), data.tobytes()
-                made = [ids + end for ids in run_ids(path).encode([flat[a:b] for a, b in zip(bounds, bounds[1:])])]
-                if width == 2:
-                    made = [np.frombuffer(ids, "<u4").astype("<u2").tobytes() for ids in made]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array(made, pa.binary())], names=[id_column, "ids"])
-
-    return source.mapInArrow(run, f"`{id_column}` {kind}, ids binary")
+    for low, high, _, data, offsets in blocks(texts):
+        bounds, flat = offsets.tolist(), data.tobytes()
+        made = [ids + end for ids in run_ids(path).encode([flat[a:b] for a, b in zip(bounds, bounds[1:])])]
+        yield low, high, made if width == 4 else [np.frombuffer(ids, "<u4").astype("<u2").tobytes() for ids in made]
 
 
 def write(
     docs: DataFrame, path: str, folder: str | None = None, id_column: str = "doc_id", text: str = "text", end_id: int = END_ID,
     part_bytes: int = PART_BYTES,
 ) -> str:
-    """Write the files of all documents and return their folder, a new one in the shared folder by
-    default. The number of parts follows from the ids, at least one for each shuffle partition."""
-    spark, width = docs.sparkSession, id_width(path, end_id)
+    """Write the files of all documents, which come from a stored table, and return their folder, a
+    new one in the shared folder by default. The number of parts follows from the length of the
+    texts, which have about four bytes an id, and is at least the number of shuffle partitions."""
+    source, width = texts_only(docs, id_column, text), id_width(path, end_id)
+    spark = docs.sparkSession
     folder = folder or f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
-    coded = written(encoded(docs, path, id_column, text, end_id), "coded")
-    size = coded.agg(F.sum(F.octet_length("ids").cast("bigint"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // part_bytes))
+    size = source.agg(F.sum(F.octet_length(text).cast("bigint") + 4)).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size * width // (4 * part_bytes)))
     # The row's number only spreads equal rows; it is the same whenever the table is read.
-    keys = [F.col(id_column), F.xxhash64("ids"), F.monotonically_increasing_id()]
-    named = coded.select(id_column, "ids", *(k.alias(f"__key{i}") for i, k in enumerate(keys[1:])))
-    order = [id_column, "__key0", "__key1"]
-    dealt = named.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(id_column, "ids")
+    order = [id_column, "__hash", "__row"]
+    named = source.select(
+        id_column, F.col(text).alias("text"), F.xxhash64(text).alias("__hash"), F.monotonically_increasing_id().alias("__row"))
+    dealt = named.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(id_column, "text")
 
     def run(batches):
         part, n_docs, n_ids = TaskContext.get().partitionId(), 0, 0
@@ -149,14 +140,14 @@ def write(
                 output(folder, f"docs-{part:08d}.arrow") as names:
             writer = None
             for batch in batches:
-                ids = batch.column(1).cast(pa.large_binary())
-                ends = np.frombuffer(ids.buffers()[1], dtype=np.int64, count=len(ids) + 1 + ids.offset)[ids.offset:]
-                flat.write(memoryview(ids.buffers()[2])[ends[0]:ends[-1]] if len(ids) else b"")
-                lengths.write((np.diff(ends) // width).astype("<i8").tobytes())
-                named = pa.RecordBatch.from_arrays([batch.column(0)], names=["id"])
-                writer = writer or pa.ipc.new_file(names, named.schema)
-                writer.write_batch(named)
-                n_docs, n_ids = n_docs + len(ids), n_ids + int(ends[-1] - ends[0]) // width
+                for low, high, made in encoded(path, batch.column(1), width, end_id):
+                    flat.write(b"".join(made))
+                    sizes = np.array([len(ids) // width for ids in made], dtype="<i8")
+                    lengths.write(sizes.tobytes())
+                    block = pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low)], names=["id"])
+                    writer = writer or pa.ipc.new_file(names, block.schema)
+                    writer.write_batch(block)
+                    n_docs, n_ids = n_docs + len(made), n_ids + int(sizes.sum())
             if writer:
                 writer.close()
         if n_docs:
@@ -178,7 +169,7 @@ def write(
                         at = int(ends[-1])
             yield batch
 
-    spread = placed.repartition(parts)
+    spread = placed.repartition(max(1, counted.count()))
     spread.mapInArrow(offsets, placed.schema).write.parquet(f"{folder}/manifest")
     return folder
 

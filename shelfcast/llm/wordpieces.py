@@ -1,4 +1,4 @@
-"""Word ids with a table of letter runs: most unknown words are known runs put together anew."""
+"""Word ids with a table of runs: letters, digits and marks as the tokenizer's pattern cuts them."""
 
 from __future__ import annotations
 
@@ -10,59 +10,67 @@ import regex
 
 from shelfcast.llm.packing import WordIds
 
-# The tokenizer file's own pattern of what it encodes apart, and the characters for
-# which it needs no normalization but lower case.
-RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
-PLAIN = "[!-~\u00a1-\u024f]+"
+# The tokenizer file's own pattern of what it encodes apart.
+RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LAST = "</w>"
 TOGETHER = 64
+BEYOND = 0x250   # characters below it, without the controls, change by lower case only
+CAREFUL = "İ\x85\xa0"  # but for these
 
 
 class RunIds(WordIds):
-    """Ids of words from ids of their runs, which the library encodes in short sentences. Ids that
-    close a run tell where it ends. Words with other characters, special tokens or capitals go to
-    the library whole, and so does everything if the file's pattern is not the one above."""
+    """Ids of texts from ids of their runs, which the library encodes in short sentences; ids that
+    close a run tell where it ends. Texts with other characters or special tokens go through whole
+    words, and so do all texts if the file's pattern is not the one above."""
 
     def __init__(self, path: str):
         super().__init__(path)
         vocabulary = self.tokenizer.get_vocab()
         self.closing = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.closing[[i for token, i in vocabulary.items() if token.endswith(LAST)]] = True
-        self.known = self.special is not None and regex.sub(r"\\p\{L\}\+|\[\\p\{L\}\]\+", "L", str(self.tokenizer.pre_tokenizer)).find(
-            "'s|'t|'re|'ve|'m|'ll|'d|L|[\\p{N}]|[^\\s\\p{L}\\p{N}]+") >= 0
-        self.plain, self.runs, self.pieces = re.compile(PLAIN), regex.compile(RUNS), {}
+        self.known = self.special is not None and RUNS in str(self.tokenizer.pre_tokenizer)
+        low = [chr(c) for c in (*range(33, 127), *range(161, BEYOND)) if chr(c) not in CAREFUL]
+        letters = re.escape("".join(c for c in low if regex.fullmatch(r"\p{L}", c)))
+        digits = re.escape("".join(c for c in low if regex.fullmatch(r"\p{N}", c)))
+        # What a run starts with tells its kind, so letters can be tried first.
+        self.find = re.compile(rf"[{letters}]+|[{digits}]|'(?:s|t|re|ve|m|ll|d)|[^\s{letters}{digits}]+").findall
+        self.plain = re.compile(f"[ \t-\r{re.escape(''.join(low))}]*").fullmatch
+        self.runs: dict[str, bytes] = {}
+        self.runs_before: dict[str, bytes] = {}
 
-    def learn(self, words: list[bytes]) -> None:
-        if not self.known:
-            return super().learn(words)
-        if len(self.pieces) > 1 << 19:
-            self.pieces = {}
-        split, others = {}, []
-        for word in words:
-            text = word.decode()
-            if self.plain.fullmatch(text) and text == text.lower() and "<|" not in text:
-                split[word] = self.runs.findall(text)
-            else:
-                others.append(word)
-        self.learn_runs(list(set().union(*split.values()).difference(self.pieces)))
-        get = self.pieces.__getitem__
-        for word, found in split.items():
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        if len(self.runs) > 1 << 19:
+            self.runs, self.runs_before = {}, self.runs
+        cut: list[list[str] | None] = []
+        for text in texts:
+            low = text.decode().lower() if self.known else ""
+            cut.append(self.find(low) if self.known and self.plain(low) and "<|" not in low else None)
+        missing = set().union(*filter(None, cut)).difference(self.runs)
+        again = missing.intersection(self.runs_before)
+        self.runs.update((run, self.runs_before[run]) for run in again)
+        self.learn_runs(list(missing - again))
+        get, out, others = self.runs.__getitem__, [], []
+        for k, runs in enumerate(cut):
             try:
-                self.words[word] = b"".join(map(get, found))
+                out.append(b"" if runs is None else b"".join(map(get, runs)))
             except KeyError:
-                others.append(word)
-        if others:
-            super().learn(others)
+                runs = None
+                out.append(b"")
+            if runs is None:
+                others.append(k)
+        for k, ids in zip(others, super().encode([texts[k] for k in others])):
+            out[k] = ids
+        return out
 
     def learn_runs(self, runs: list[str]) -> None:
-        """Runs in sentences of 64, each of which gives one closing id per run."""
+        """Runs in sentences of 64, each of which gives one closing id per run. Others stay unknown."""
         parts = [runs[k:k + TOGETHER] for k in range(0, len(runs), TOGETHER)]
         for part, coded in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
             ids = np.array(coded.ids, dtype="<u4")
             ends = (4 * (np.flatnonzero(self.closing[ids]) + 1)).tolist()
             if len(ends) == len(part):
                 flat = ids.tobytes()
-                self.pieces.update((run, flat[a:b]) for run, a, b in zip(part, [0, *ends], ends))
+                self.runs.update((run, flat[a:b]) for run, a, b in zip(part, [0, *ends], ends))
 
 
 @lru_cache(maxsize=2)
