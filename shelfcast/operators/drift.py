@@ -12,7 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators.quantiles import long_form, running_counts
+from shelfcast.operators.quantiles import running_counts
+from shelfcast.session import written
 
 NUMERIC_THRESHOLD = 0.1       # Wasserstein distance in reference deviations
 CATEGORICAL_THRESHOLD = 0.1   # Jensen-Shannon distance
@@ -23,31 +24,47 @@ LEAST_SHARE = 0.0001          # floor of a share inside the stability index
 LEAST_DEVIATION = 0.001
 
 
-def _side_counts(
-    reference: DataFrame, current: DataFrame, columns: list[str], kind: str, period: str | None
-) -> tuple[DataFrame, list[str]]:
-    """(by..., value, r, c): rows of each value in the reference and in the current table.
+def value_counts(df: DataFrame, numeric: list[str], categorical: list[str], ids: list[str] | None = None) -> DataFrame:
+    """(ids..., column, number, text, rows) of the non-null values of all columns, in one scan.
+
+    Numeric columns are counted by ``number``, the others by ``text``. Counts of parts of a table
+    add up to those of the whole, so they can be kept and added to as rows arrive.
+    """
+    ids = ids or []
+    cases = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("number"), F.lit(None).cast("string").alias("text")) for c in numeric]
+    cases += [F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("number"), F.col(c).cast("string").alias("text")) for c in categorical]
+    long = df.select(*ids, F.inline(F.array(*cases))).where(F.col("number").isNotNull() | F.col("text").isNotNull())
+    return long.groupBy(*ids, "column", "number", "text").agg(F.count("*").alias("rows"))
+
+
+def _side_counts(reference: DataFrame, current: DataFrame, value: str, period: str | None) -> tuple[DataFrame, list[str]]:
+    """(by..., value, r, c) from counts of both sides: rows of each value in the reference and in
+    the current table.
 
     With ``period`` the current table is compared period by period; the reference counts,
     one row per distinct value, are repeated for each period of the calendar.
     """
-    ref = long_form(reference, columns, kind=kind).groupBy("column", "value").agg(F.count("*").alias("r"))
+    ref = reference.where(F.col(value).isNotNull()).select("column", F.col(value).alias("value"), F.col("rows").alias("r"))
+    cur = current.where(F.col(value).isNotNull())
     by = ["column"]
-    ids: list[str] = []
     if period:
-        by, ids = ["column", period], [period]
+        by = ["column", period]
         periods = current.agg(F.collect_set(period)).scalar()
         ref = ref.withColumn(period, F.explode(periods))
-    cur = long_form(current, columns, ids, kind).groupBy(*by, "value").agg(F.count("*").alias("c"))
     both = ref.select(*by, "value", "r", F.lit(0).cast("bigint").alias("c")).unionByName(
-        cur.select(*by, "value", F.lit(0).cast("bigint").alias("r"), "c")
-    )
+        cur.select(*by, F.col(value).alias("value"), F.lit(0).cast("bigint").alias("r"), F.col("rows").alias("c")))
     return both.groupBy(*by, "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c")), by
 
 
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str], period: str | None = None) -> DataFrame:
     """(column, ks, w1, w1_norm, reference_rows, current_rows); distances are null without current rows."""
-    counts, by = _side_counts(reference, current, columns, "double", period)
+    ids = [period] if period else None
+    return numeric_drift_of_counts(value_counts(reference, columns, []), value_counts(current, columns, [], ids), period)
+
+
+def numeric_drift_of_counts(reference: DataFrame, current: DataFrame, period: str | None = None) -> DataFrame:
+    """``numeric_drift`` from the ``value_counts`` of both sides."""
+    counts, by = _side_counts(reference, current, "number", period)
     seen = running_counts(counts, by, ["r", "c"])
     apart = F.abs(F.try_divide(F.col("seen_r"), F.col("all_r")) - F.try_divide(F.col("seen_c"), F.col("all_c")))
     distances = seen.groupBy(*by).agg(
@@ -56,7 +73,12 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str],
         F.max("all_r").alias("reference_rows"),
         F.max("all_c").alias("current_rows"),
     )
-    deviation = long_form(reference, columns).groupBy("column").agg(F.stddev_pop("value").alias("_std"))
+    numbers = reference.where(F.col("number").isNotNull())
+    means = numbers.groupBy("column").agg((F.sum(F.col("number") * F.col("rows")) / F.sum("rows")).alias("_mean"))
+    away = F.col("number") - F.col("_mean")
+    # One row per named column.
+    deviation = numbers.join(F.broadcast(means), "column").groupBy("column").agg(
+        F.sqrt(F.sum(away * away * F.col("rows")) / F.sum("rows")).alias("_std"))
     compared = F.col("ks").isNotNull()
     return distances.join(deviation, "column", "left").select(
         *by, "ks",
@@ -70,7 +92,13 @@ def categorical_drift(
     reference: DataFrame, current: DataFrame, columns: list[str], period: str | None = None
 ) -> DataFrame:
     """(column, js, psi, chi2, reference_rows, current_rows)."""
-    counts, by = _side_counts(reference, current, columns, "string", period)
+    ids = [period] if period else None
+    return categorical_drift_of_counts(value_counts(reference, [], columns), value_counts(current, [], columns, ids), period)
+
+
+def categorical_drift_of_counts(reference: DataFrame, current: DataFrame, period: str | None = None) -> DataFrame:
+    """``categorical_drift`` from the ``value_counts`` of both sides."""
+    counts, by = _side_counts(reference, current, "text", period)
     totals = counts.groupBy(*by).agg(F.sum("r").alias("reference_rows"), F.sum("c").alias("current_rows"))
     p, q = F.col("_p"), F.col("_q")
     middle = (p + q) / 2
@@ -105,15 +133,26 @@ def drift_report(
     numeric_threshold: float = NUMERIC_THRESHOLD,
     categorical_threshold: float = CATEGORICAL_THRESHOLD,
 ) -> DataFrame:
-    """(period,) column, kind, score, threshold, drifted, current_rows: one row per compared column."""
+    """(period,) column, kind, score, threshold, drifted, current_rows: one row per compared column.
+    Each table is read once, for a table of its value counts."""
+    ids = [period] if period else []
+    sides = [written(value_counts(side, numeric, categorical, by), "value-counts") for side, by in ((reference, []), (current, ids))]
+    return drift_report_of_counts(*sides, bool(numeric), bool(categorical), period, numeric_threshold, categorical_threshold)
+
+
+def drift_report_of_counts(
+    reference: DataFrame, current: DataFrame, numeric: bool = True, categorical: bool = True, period: str | None = None,
+    numeric_threshold: float = NUMERIC_THRESHOLD, categorical_threshold: float = CATEGORICAL_THRESHOLD,
+) -> DataFrame:
+    """``drift_report`` from the ``value_counts`` of both sides."""
     ids = [period] if period else []
     parts = []
     if numeric:
-        parts.append(numeric_drift(reference, current, numeric, period).select(
+        parts.append(numeric_drift_of_counts(reference, current, period).select(
             *ids, "column", F.lit("numeric").alias("kind"), F.col("w1_norm").alias("score"),
             F.lit(numeric_threshold).alias("threshold"), "current_rows"))
     if categorical:
-        parts.append(categorical_drift(reference, current, categorical, period).select(
+        parts.append(categorical_drift_of_counts(reference, current, period).select(
             *ids, "column", F.lit("categorical").alias("kind"), F.col("js").alias("score"),
             F.lit(categorical_threshold).alias("threshold"), "current_rows"))
     report = reduce(DataFrame.unionByName, parts)

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators.prepare import numeric_columns
-from shelfcast.operators.quantiles import long_form, quantiles
+from shelfcast.operators.quantiles import long_form, quantiles_of, value_table
+from shelfcast.operators.validate import row_digest
 
 NO_SPREAD = 1e-12  # share of the second moment below which a column counts as constant
 
@@ -30,14 +31,15 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, sample deviation, min, exact quartiles and max, one row per column."""
-    moments = long_form(df, columns).groupBy("column").agg(
+    long = value_table(df, columns)
+    moments = long.groupBy("column").agg(
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    return moments.join(quantiles(df, columns, [0.25, 0.5, 0.75]), "column")
+    return moments.join(quantiles_of(long, [0.25, 0.5, 0.75]), "column")
 
 
 def per_column(df: DataFrame, measures: dict[str, dict[str, Column]]) -> DataFrame:
@@ -59,8 +61,9 @@ def infinite_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each set of equal rows. Copies fold before the shuffle."""
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("n"))
+    """Rows beyond the first of each set of equal rows. Copies are told by digest and fold before
+    the shuffle, so no whole row is shuffled."""
+    copies = df.select(*row_digest(df)).groupBy("_a", "_b").agg(F.count("*").alias("n"))
     return copies.agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicates"),
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
@@ -69,15 +72,20 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 def fences(df: DataFrame, columns: list[str]) -> DataFrame:
     """Quartiles and the limits 1.5 quartile ranges beyond them, one row per column."""
+    return fences_of(value_table(df, columns))
+
+
+def fences_of(values: DataFrame) -> DataFrame:
+    """``fences`` of a ``value_table``."""
     reach = (F.col("q75") - F.col("q25")) * 1.5
-    return quantiles(df, columns, [0.25, 0.75]).withColumns({"lower": F.col("q25") - reach, "upper": F.col("q75") + reach})
+    return quantiles_of(values, [0.25, 0.75]).withColumns({"lower": F.col("q25") - reach, "upper": F.col("q75") + reach})
 
 
 def outliers(df: DataFrame, columns: list[str], upper_only: bool = False) -> DataFrame:
     """Number and share of values beyond the fences."""
-    limits = fences(df, columns)
+    long = value_table(df, columns)
     # One row per named column: safe to broadcast whatever the data size.
-    held = long_form(df, columns).join(F.broadcast(limits), "column")
+    held = long.join(F.broadcast(fences_of(long)), "column")
     beyond = F.col("value") > F.col("upper")
     if not upper_only:
         beyond = beyond | (F.col("value") < F.col("lower"))
@@ -173,9 +181,9 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 50) -> DataFrame:
 
 def box_plot(df: DataFrame, columns: list[str]) -> DataFrame:
     """Quartiles, whiskers (last values inside the fences) and points beyond them, per column."""
-    spread = quantiles(df, columns, [0.25, 0.5, 0.75])
+    long = value_table(df, columns)
     reach = (F.col("q75") - F.col("q25")) * 1.5
-    held = long_form(df, columns).join(F.broadcast(spread), "column")  # one row per named column
+    held = long.join(F.broadcast(quantiles_of(long, [0.25, 0.5, 0.75])), "column")  # one row per named column
     inside = F.col("value").between(F.col("q25") - reach, F.col("q75") + reach)
     return held.groupBy("column", "q25", "q50", "q75").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-ACCURACY = 20_000  # a sketch quantile is at most n / ACCURACY rows off
-SLACK = 3 / ACCURACY
-RANGES = 256       # pieces a column is cut into for running counts; a power of two
+from shelfcast.session import forget, written
+
+PIECE_ROWS = 1 << 18           # distinct values counted through in one task, about
+LEAST_NORMAL = 2.0 ** -1022    # doubles below it have no leading one
 
 
 def long_form(df: DataFrame, columns: list[str], ids: list[str] | None = None, kind: str = "double") -> DataFrame:
@@ -24,53 +25,68 @@ def quantile_name(probability: float) -> str:
     return "q" + f"{probability * 100:g}".replace(".", "_")
 
 
+def with_ordered_bits(df: DataFrame, value: str = "value", name: str = "bits") -> DataFrame:
+    """Adds a whole number of 64 bits that grows with the double: exponent and fraction as its own
+    bits have them, mirrored for negative numbers. NaN, as in Spark's order, is above all others.
+    One step a projection, so that no step is computed again inside the next."""
+    size, infinite = F.col("_size"), F.lit(float("inf"))
+    normal = (size >= F.lit(LEAST_NORMAL)) & (size < infinite)
+    scaled = F.col("_scaled")  # exact, and a logarithm is at most one step off
+    fraction = F.when(scaled < 1.0, scaled * 2).when(scaled >= 2.0, scaled / 2).otherwise(scaled) - 1.0
+    exponent = F.col("_guess") + F.when(scaled < 1.0, -1).when(scaled >= 2.0, 1).otherwise(0)
+    bits = F.when(size == infinite, F.lit(2047 << 52)).when(
+        normal, (exponent + 1023) * F.lit(1 << 52) + (fraction * F.lit(2.0 ** 52)).cast("bigint")
+    ).otherwise((size * F.lit(2.0 ** 537) * F.lit(2.0 ** 537)).cast("bigint"))
+    steps = df.withColumn("_size", F.abs(F.col(value)))
+    steps = steps.withColumn("_guess", F.least(F.floor(F.log2(F.when(normal, size).otherwise(1.0))), F.lit(1023)))
+    steps = steps.withColumn("_scaled", size / F.pow(F.lit(2.0), F.col("_guess")))
+    steps = steps.withColumn("_bits", F.when(F.isnan(value), F.lit((1 << 63) - 1)).otherwise(bits))
+    return steps.withColumn(name, F.when(F.col(value) < 0, -F.col("_bits")).otherwise(F.col("_bits"))).drop("_size", "_guess", "_scaled", "_bits")
+
+
+def value_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, bits) of all non-null values, written once for everything that reads them."""
+    return written(with_ordered_bits(long_form(df, columns)), "values")
+
+
 def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
-    """One row per column with ``q25``, ``q50``, ...: linear interpolation, nulls skipped.
+    """One row per column with ``q25``, ``q50``, ...: linear interpolation, nulls skipped."""
+    return quantiles_of(value_table(df, columns), probabilities)
 
-    A mergeable sketch first gives two values that enclose each wanted position. A second pass
-    counts what lies below, inside and above; only the few distinct values inside are kept one
-    by one, so the ordered step sees a sliver of the column. Both passes fold rows before the
-    shuffle, copies of one value included.
-    """
-    long = long_form(df, columns)
-    bounds = [b for p in probabilities for b in (max(0.0, p - SLACK), min(1.0, p + SLACK))]
-    sketch = long.groupBy("column").agg(
-        F.count("*").alias("n"), F.percentile_approx("value", bounds, ACCURACY).alias("bounds")
-    )
-    wanted = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), F.col("bounds")[2 * i].alias("low"), F.col("bounds")[2 * i + 1].alias("high"))
-        for i, p in enumerate(probabilities)
-    ])
-    targets = sketch.select("column", "n", F.inline(wanted))
-    zone = F.when(F.col("value") < F.col("low"), -1).when(F.col("value") > F.col("high"), 1).otherwise(0)
-    # One row per column and probability: safe to broadcast whatever the data size.
-    counted = (
-        long.join(F.broadcast(targets), "column").withColumn("zone", zone)
-        .groupBy("column", "i", "p", "n", "zone", F.when(F.col("zone") == 0, F.col("value")).alias("inside"))
-        .agg(F.count("*").alias("rows"), F.max("value").alias("largest"), F.min("value").alias("smallest"))
-    )
-    nearest = F.when(F.col("zone") == -1, F.col("largest")).otherwise(F.col("smallest"))
-    upto = W.partitionBy("column", "i").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    seen = counted.withColumn("value", nearest).withColumn("seen", F.sum("rows").over(upto))
-
-    def at(rank):
-        """Value at a 0-based rank. Below and above, only the nearest value is known."""
-        known = (
-            (F.col("zone") == 0)
-            | ((F.col("zone") == -1) & (rank == F.col("seen") - 1))
-            | ((F.col("zone") == 1) & (rank == F.col("seen") - F.col("rows")))
-        )
-        return F.min(F.when(F.col("seen") > rank, F.struct(F.col("seen"), F.col("value"), known.alias("known"))))
 
+def quantiles_of(values: DataFrame, probabilities: list[float]) -> DataFrame:
+    """``quantiles`` of a ``value_table``.
+
+    Radix selection: four passes over 16 bits each of the value's ordered bits. A pass counts the
+    rows by their next digit, for all columns and wanted positions at once, among the rows that
+    share the digits found so far; the digit in which a position falls is then known, and how many
+    rows lie below. The digits of a position are at most 65,536 counts however the values lie, and
+    the fourth digit is the value itself. Between passes only the positions, two for each column
+    and probability, come to the driver.
+    """
+    spark = values.sparkSession
     position = F.col("p") * (F.col("n") - 1)
-    found = seen.groupBy("column", "i", "p", "n").agg(at(F.floor(position)).alias("a"), at(F.ceil(position)).alias("b"))
-    value = F.col("a.value") + (F.col("b.value") - F.col("a.value")) * (position - F.floor(position))
-    checked = F.when(F.col("a.known") & F.col("b.known"), value).otherwise(
-        F.raise_error(F.lit("a quantile lies outside its sketch bounds")).cast("double")
-    )
-    return found.withColumn("q", checked).groupBy("column").agg(
-        *[F.max(F.when(F.col("i") == i, F.col("q"))).alias(quantile_name(p)) for i, p in enumerate(probabilities)]
-    )
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
+    asked = values.groupBy("column").agg(F.count("*").alias("n")).select("column", "n", F.inline(wanted)).select(
+        "column", "i", F.inline(F.array(*[F.struct(F.lit(k).alias("side"), at(position).alias("rank")) for k, at in enumerate((F.floor, F.ceil))])),
+        (position - F.floor(position)).alias("part"), F.lit(0).cast("bigint").alias("prefix"), F.lit(0.0).alias("value"))
+    for shift in (48, 32, 16, 0):
+        found = spark.createDataFrame(asked.collect(), asked.schema)
+        higher = F.shiftright("bits", shift + 16) if shift < 48 else F.lit(0).cast("bigint")
+        digits = values.select("column", higher.alias("prefix"), F.shiftright("bits", shift).alias("digit"), "value")
+        # One row per column and position on the small side.
+        counted = digits.join(F.broadcast(found.select("column", "prefix").distinct()), ["column", "prefix"]).groupBy(
+            "column", "prefix", "digit").agg(F.count("*").alias("rows"), F.min("value").alias("least"))
+        upto = W.partitionBy("column", "prefix").orderBy("digit").rowsBetween(W.unboundedPreceding, W.currentRow)
+        seen = counted.withColumn("upto", F.sum("rows").over(upto)).withColumn("below", F.col("upto") - F.col("rows"))
+        inside = (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("below"))
+        asked = seen.join(F.broadcast(found), ["column", "prefix"]).where(inside).select(
+            "column", "i", "side", (F.col("rank") - F.col("below")).alias("rank"), "part", F.col("digit").alias("prefix"),
+            F.col("least").alias("value"))
+    low, high = F.max(F.when(F.col("side") == 0, F.col("value"))), F.max(F.when(F.col("side") == 1, F.col("value")))
+    picked = asked.groupBy("column", "i").agg(F.when(low == high, low).otherwise(low + (high - low) * F.max("part")).alias("q"))
+    return picked.groupBy("column").agg(
+        *[F.max(F.when(F.col("i") == i, F.col("q"))).alias(quantile_name(p)) for i, p in enumerate(probabilities)])
 
 
 def modes(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -89,45 +105,38 @@ def modes(df: DataFrame, columns: list[str]) -> DataFrame:
     return counted.groupBy("column").agg(F.min_by(text, F.struct(-F.col("rows"), *values)).alias("value"))
 
 
-def running_counts(counts: DataFrame, by: list[str], weights: list[str]) -> DataFrame:
+def running_counts(counts: DataFrame, by: list[str], weights: list[str], piece_rows: int = PIECE_ROWS) -> DataFrame:
     """``counts`` has one row per (by, value) and count columns ``weights``; ``by`` has a bounded
     number of groups, such as named columns and calendar years.
 
     Adds, per weight w, ``seen_w`` (rows at or below the value) and ``all_w`` (rows in the
     group), and ``next_value`` (the next larger value of the group, null at the end).
 
-    Sketch quantiles of the distinct values cut each group into RANGES pieces of about equal
-    size. Running counts inside the pieces run in parallel and are shifted by the counts of
-    the pieces before.
+    The rows are written once, cut into ranges of (by, value) of about ``piece_rows`` rows, so the
+    number of pieces follows the data. Totals of the pieces, one row each, give every piece what
+    lies before it; inside the pieces running counts go in parallel.
     """
-    points = [i / RANGES for i in range(1, RANGES)]
-    edges = counts.groupBy(*by).agg(F.percentile_approx("value", points, 10 * RANGES).alias("_edges"))
-    cut = counts.join(F.broadcast(edges), by).withColumn("_range", F.lit(0))  # one row per group
-    step = RANGES // 2
-    while step:  # binary search for the number of edges below the value
-        beyond = F.get("_edges", F.col("_range") + step - 1) < F.col("value")
-        cut = cut.withColumn("_range", F.col("_range") + F.when(beyond, step).otherwise(0))
-        step //= 2
-    cut = cut.drop("_edges")
-
-    sums = cut.groupBy(*by, "_range").agg(
-        F.min("value").alias("_first"), *[F.sum(w).alias(f"_in_{w}") for w in weights]
-    )
-    ranges = W.partitionBy(*by).orderBy("_range")
-    before = ranges.rowsBetween(W.unboundedPreceding, -1)
+    held = written(counts, "counts")
+    pieces = max(1, -(-held.count() // piece_rows))
+    ranged = held.repartitionByRange(pieces, *by, "value").withColumn("_piece", F.spark_partition_id())
+    cut = written(ranged, "ranges")
+    forget(held)
+    sums = cut.groupBy(*by, "_piece").agg(F.min("value").alias("_first"), *[F.sum(w).alias(f"_in_{w}") for w in weights])
+    along = W.partitionBy(*by).orderBy("_piece")  # one row for each piece
+    before = along.rowsBetween(W.unboundedPreceding, -1)
     shifts = sums.select(
-        *by, "_range",
-        F.lead("_first").over(ranges).alias("_next_first"),
+        *by, "_piece",
+        F.lead("_first").over(along).alias("_next_first"),
         *[F.coalesce(F.sum(f"_in_{w}").over(before), F.lit(0)).alias(f"_before_{w}") for w in weights],
         *[F.sum(f"_in_{w}").over(W.partitionBy(*by)).alias(f"all_{w}") for w in weights],
     )
-    inside = W.partitionBy(*by, "_range").orderBy("value")
+    inside = W.partitionBy(*by, "_piece").orderBy("value")
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
-        cut.join(F.broadcast(shifts), [*by, "_range"])  # at most RANGES rows per group
+        cut.join(shifts, [*by, "_piece"])
         .withColumns({
             **{f"seen_{w}": F.col(f"_before_{w}") + F.sum(w).over(upto) for w in weights},
             "next_value": F.coalesce(F.lead("value").over(inside), F.col("_next_first")),
         })
-        .drop("_range", "_next_first", *[f"_before_{w}" for w in weights])
+        .drop("_piece", "_next_first", *[f"_before_{w}" for w in weights])
     )

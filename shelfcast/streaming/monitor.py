@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.operators import monitor
 from shelfcast.schemas import EVENT_SCHEMA
-from shelfcast.streaming.runs import on_time, once_each, read_stream, run_to_end, start_files, start_table
+from shelfcast.streaming.runs import on_time, once_each, read_stream, run_to_end, run_to_table, start_files
 
 
 def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,11 +26,11 @@ def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_to_end(monitor.latest_value(request_stream(spark, sf_dir)), "latest", start_table)
+    return run_to_table(monitor.latest_value(request_stream(spark, sf_dir)), "latest", ("key",))
 
 
 def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_to_end(monitor.outcome_counts(request_stream(spark, sf_dir)), "outcomes", start_table)
+    return run_to_table(monitor.outcome_counts(request_stream(spark, sf_dir)), "outcomes")
 
 
 def distinct_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

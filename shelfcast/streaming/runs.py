@@ -7,11 +7,15 @@ stopped and nothing is kept on the driver.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.session import shared_folder
+from shelfcast.sources.files import append_parquet
+from shelfcast.streaming.tables import StreamTable
 
 LATENESS = "10 minutes"
 
@@ -50,22 +54,48 @@ def start_files(stream: DataFrame, folder: str, trigger: dict | None = None):
     )
 
 
-def start_table(stream: DataFrame, folder: str, trigger: dict | None = None, mode: str = "complete"):
-    """Replace ``folder/rows`` by the current result after every batch. For results with one
-    row per key, which must be rewritten as they change."""
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/rows")
+def keyed_table(stream: DataFrame, folder: str, keys: tuple[str, ...]) -> StreamTable:
+    return StreamTable(stream.sparkSession, f"{folder}/table", stream.schema, keys, "latest")
 
+
+def start_table(stream: DataFrame, folder: str, keys: tuple[str, ...] = (), trigger: dict | None = None):
+    """Keep ``keyed_table`` at the newest row of every key: a batch adds the rows that changed, and
+    readers see the table as of a whole batch. Without keys the table is one row."""
+    table = keyed_table(stream, folder, keys)
+    return _start_batches(stream, folder, lambda batch, batch_id: table.apply(batch, batch_id), trigger, "update")
+
+
+def start_log(stream: DataFrame, folder: str, trigger: dict | None = None):
+    """Append every batch to the log ``folder/log``, where it counts once and only when it is whole."""
+    log = StreamTable(stream.sparkSession, f"{folder}/log", stream.schema)
+    return _start_batches(stream, folder, lambda batch, batch_id: log.apply(batch, batch_id), trigger, "append")
+
+
+def _start_batches(stream: DataFrame, folder: str, work, trigger: dict | None, mode: str):
     return (
-        stream.writeStream.outputMode(mode).foreachBatch(replace)
-        .option("checkpointLocation", f"{folder}/checkpoint")
+        stream.writeStream.outputMode(mode).foreachBatch(work).option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(**(trigger or {"availableNow": True})).start()
     )
 
 
+def run_arrivals(parts: list[DataFrame], folder: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Let tables arrive one after the other under ``folder/arrived`` and run the query that
+    ``start(stream)`` starts to its end after each, from where it stopped: a batch for each part."""
+    for part in parts:
+        append_parquet(part, f"{folder}/arrived")
+        start(read_stream(part.sparkSession, f"{folder}/arrived", part.schema)).awaitTermination()
+
+
 def run_to_end(stream: DataFrame, name: str, start=start_files) -> DataFrame:
     """Process everything available now and return the rows the query wrote."""
     spark = stream.sparkSession
     folder = run_folder(spark, name)
     start(stream, folder).awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
+def run_to_table(stream: DataFrame, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """As ``run_to_end`` for a result with one row per key."""
+    folder = run_folder(stream.sparkSession, name)
+    start_table(stream, folder, keys).awaitTermination()
+    return keyed_table(stream, folder, keys).read()
