@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from shelfcast.functions.business import percent
 from shelfcast.functions.dates import horizon_dates, iso_weekday, with_date_parts
-from shelfcast.operators.timeseries import with_latest_lags
+from shelfcast.operators.timeseries import LAGS, with_latest_lags
 from shelfcast.session import cut_lineage
 
 MAX_DAYS = 30
 STEPS_PER_CUT = 10
+HELD = max(LAGS)  # days of sales that the lags of the next day need
 
 # Range request defaults.
 RANGE_DEFAULTS = {"days": 7, "open_status": 1, "promo_active": 0, "store_type": "a", "assortment": "a",
@@ -69,6 +71,48 @@ def recursive_linear(
     )
 
 
+def newest_sales(sales: DataFrame, held: int = HELD) -> DataFrame:
+    """(Store, last_date, ring): the newest ``held`` sales of every store in order of their days, 0.0
+    before the first. Any store folds to so many values before the shuffle's sort is over."""
+    newest = W.partitionBy("Store").orderBy(F.desc("Date"))
+    kept = sales.select("Store", "Date", F.col("Sales").cast("double").alias("Sales")).withColumn("_back", F.row_number().over(newest))
+    rings = kept.where(F.col("_back") <= held).groupBy("Store").agg(
+        F.max("Date").alias("last_date"), F.array_sort(F.collect_list(F.struct("Date", "Sales"))).alias("_days"))
+    ring = F.transform("_days", lambda d: d["Sales"])
+    return rings.select("Store", "last_date", F.concat(F.array_repeat(F.lit(0.0), held - F.size("_days")), ring).alias("ring"))
+
+
+def lags_of(ring: Column, lags: tuple[int, ...] = LAGS, mean: int = 7, held: int = HELD) -> dict[str, Column]:
+    """The lags of the day after the last one in ``ring``, and the mean of the last days before it."""
+    last = sum((ring[held - k] for k in range(mean, 1, -1)), F.lit(0.0)) + ring[held - 1]
+    return {**{f"sales_lag_{k}": ring[held - k] for k in lags}, f"sales_roll_mean_{mean}": last / mean}
+
+
+def recursive_lags(
+    requests: DataFrame, days: int, score: Callable[[dict[str, Column], Column], Column], start: str = "start_date", held: int = HELD,
+) -> DataFrame:
+    """As ``recursive_linear``, with all lags following the predictions.
+
+    The state of the fold is the row's ``ring`` of the newest sales: a day's prediction goes in at
+    its end and the oldest value falls out, so lag 7, lag 30 and the rolling mean move along with
+    lag 1. ``score(lags, date)`` is the log prediction as an expression.
+    """
+    check_days(days)
+    start_state = F.struct(F.col("ring").alias("ring"), F.array().cast("array<double>").alias("path"))
+
+    def step(state: Column, date: Column) -> Column:
+        sales = F.array(F.expm1(score(lags_of(state["ring"], held=held), date)).cast("double"))
+        return F.struct(
+            F.concat(F.slice(state["ring"], 2, held - 1), sales).cast("array<double>").alias("ring"),
+            F.concat(state["path"], sales).cast("array<double>").alias("path"))
+
+    dates = horizon_dates(F.col(start), days)
+    path = F.aggregate(dates, start_state, step, lambda state: state["path"])
+    kept = [c for c in requests.columns if c != "ring"]
+    return requests.withColumn("_day", F.explode(F.arrays_zip(dates.alias("Date"), path.alias("prediction")))).select(
+        *kept, F.col("_day")["Date"].alias("Date"), F.col("_day")["prediction"].alias("prediction"))
+
+
 def recursive_model(requests: DataFrame, days: int, model, start: str = "start_date") -> DataFrame:
     """As ``recursive_linear`` for any fitted model, one scoring projection per day over all rows.
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import baseline, forecast, metrics, prepare, timeseries
 from shelfcast.plans.registry import SPLIT_SQL, day_text, query, rounded, sql
+from shelfcast.session import written
 from shelfcast.sources.canonical import sales
 
 HORIZON = 7
@@ -177,6 +178,39 @@ def whatif_days(spark, sf_dir):
     return rounded(out.select("Store", day_text().alias("Date"), "base", "promo"), "base", "promo", places=2)
 
 
+_ALL_LAGS_SQL = {
+    "lagged": f"""select *, ln(1+Sales::double) as label from (select *, {SPLIT_SQL} as split, lag(Sales, 1) over w as l1, lag(Sales, 7) over w as l7, lag(Sales, 30) over w as l30,
+ avg(Sales) over (partition by Store order by Date rows between 7 preceding and 1 preceding) as m7 from sales window w as (partition by Store order by Date)) where split = 'train' and Open = 1 and l30 is not null""",
+    **{f"fit{k}": f"""select my-b1*m1-b2*m2 as b0, b1, b2 from (select my, m1, m2, (v2*c1-c12*c2)/(v1*v2-c12*c12) as b1, (v1*c2-c12*c1)/(v1*v2-c12*c12) as b2 from (
+ select avg(label) as my, avg({a}) as m1, avg({b}) as m2, var_pop({a}::double) as v1, var_pop({b}::double) as v2, covar_pop({a}::double, {b}::double) as c12,
+ covar_pop({a}::double, label) as c1, covar_pop({b}::double, label) as c2 from lagged))""" for k, (a, b) in enumerate((("l1", "m7"), ("l7", "l30")))},
+    "weighed": "select (f.b0+g.b0)/2 as b0, f.b1/2 as w1, f.b2/2 as wm, g.b1/2 as w7, g.b2/2 as w30 from fit0 f, fit1 g",
+    "rings": """select Store, max(Date) + 1 as start_date, list_concat(list_resize([]::double[], (30-count(*))::bigint, 0.0::double), list(Sales::double order by Date)) as ring
+ from (select * from sales qualify row_number() over (partition by Store order by Date desc) <= 30) group by Store""",
+    "steps": """select Store, start_date, 0 as step, ring from rings
+ union all select Store, start_date, step+1, list_append(ring[2:30], exp(b0+w1*ring[30]+w7*ring[24]+w30*ring[1]+wm*(ring[24]+ring[25]+ring[26]+ring[27]+ring[28]+ring[29]+ring[30])/7)-1) from steps, weighed where step < 14""",
+}
+
+
+@query(sql("select Store, cast(start_date + step::int - 1 as varchar) as Date, round(ring[30],2) as prediction from steps where step > 0", **_ALL_LAGS_SQL))
+def forecast_all_lags(spark, sf_dir):
+    """Fourteen days ahead for every store; lag 1, 7 and 30 and the rolling mean all move along."""
+    facts = sales(spark, sf_dir)
+    history = timeseries.with_production_lags(prepare.with_split(facts), exclude_current=True)
+    learn = written(history.where((F.col("split") == "train") & (F.col("Open") == 1) & F.col("sales_lag_30").isNotNull())
+                    .withColumn("label", F.log1p("Sales")), "lag-rows")
+    pairs = [("sales_lag_1", "sales_roll_mean_7"), ("sales_lag_7", "sales_lag_30")]
+    fits = [baseline.as_struct(baseline.fit(learn, first=a, second=b)) for a, b in pairs]
+    requests = forecast.newest_sales(facts).withColumn("start_date", F.date_add("last_date", 1)).drop("last_date")
+
+    def score(lags, date):
+        scores = [baseline.log_prediction(F.col(f"_m{k}"), lags[a], lags[b]) for k, (a, b) in enumerate(pairs)]
+        return (scores[0] + scores[1]) / 2
+
+    path = forecast.recursive_lags(requests.withColumns({f"_m{k}": m for k, m in enumerate(fits)}), 14, score)
+    return path.select("Store", day_text().alias("Date"), F.round("prediction", 2).alias("prediction"))
+
+
 _WEIGHTS = ["DayOfWeek", "Promo", "SchoolHoliday", "Customers", "sales_lag_1", "sales_lag_7"]
 
 

@@ -62,7 +62,7 @@ merged as (select sales.*, store.* exclude (Store) from sales left join store on
 SPLIT_SQL = "case when substr(md5(concat(cast(Store as varchar), '|', cast(Date as varchar))),1,4) < '3333' then 'test' else 'train' end"
 
 
-ONCE = ("training", "moments", "model")  # steps that the SQL reads several times
+ONCE = ("training", "moments", "weights", "model", "lagged", "weighed")  # steps that the SQL reads several times
 
 
 def sql(body: str, **tables: str) -> str:

@@ -113,3 +113,23 @@ def test_closed_form_fit_equals_least_squares(spark):
     row = baseline.fit(df).first()
     want = np.linalg.lstsq(np.column_stack([np.ones(500), x1, x2]), y, rcond=None)[0]
     assert [row["intercept"], row["lag_weight"], row["promo_weight"]] == pytest.approx(want.tolist())
+
+
+def test_all_lags_move_with_the_predictions(spark, series):
+    """The fold equals a loop over a list, also past the thirtieth value and for short histories."""
+    history = {1: [(d, 100 + 7 * d) for d in range(45)], 2: [(0, 40), (5, 60)]}
+    rings = forecast.newest_sales(series(history)).withColumn("start_date", F.date_add("last_date", 1))
+    weights = {"sales_lag_1": 0.001, "sales_lag_7": 0.0005, "sales_lag_30": 0.0002, "sales_roll_mean_7": 0.0003}
+    path = forecast.recursive_lags(
+        rings, 30, lambda lags, date: sum((lags[c] * w for c, w in weights.items()), F.dayofmonth(date) * 0.01) + 3)
+    got = {}
+    for r in path.orderBy("Store", "Date").collect():
+        got.setdefault(r["Store"], []).append((r["Date"], r["prediction"]))
+    for store, days in history.items():
+        known = [0.0] * (30 - len(days)) + [float(s) for _, s in days]
+        for date, prediction in got[store]:
+            lags = {"sales_lag_1": known[-1], "sales_lag_7": known[-7], "sales_lag_30": known[-30], "sales_roll_mean_7": sum(known[-7:]) / 7}
+            want = np.expm1(sum(lags[c] * w for c, w in weights.items()) + date.day * 0.01 + 3)
+            assert prediction == pytest.approx(want)
+            known.append(prediction)
+        assert len(got[store]) == 30
