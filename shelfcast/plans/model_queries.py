@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from shelfcast.functions.dates import iso_weekday
-from shelfcast.operators import features, forecast, models, prepare, timeseries
+from shelfcast.operators import features, forecast, models, prepare, timeseries, trees
 from shelfcast.operators.retrieve import rule_documents
 from shelfcast.plans import training
 from shelfcast.plans.registry import day_text, query
@@ -140,6 +140,32 @@ def weighted_blend(spark, sf_dir):
     return models.log_and_sales_metrics(rivals, ["model"])
 
 
+@query()
+def attribution_trees(spark, sf_dir):
+    """What moves the boosted prediction for each store's latest day: five largest contributions."""
+    fitted, ready = _rows(spark, sf_dir)
+    model = models.estimator("GradientBoosting", **BOOSTING).fit(ready.where("split = 'train'"))
+    latest = timeseries.latest_per_store(ready, ["features"])
+    found = trees.largest(trees.tree_attribution(latest, model, fitted.feature_names, ["Store"]), ["Store"])
+    return found.select("Store", "place", "feature", F.round("contribution", 6).alias("contribution"), F.round("base", 6).alias("base"),
+                        F.round("prediction", 6).alias("prediction"))
+
+
+@query()
+def saved_model_scores(spark, sf_dir):
+    """Every day of the test split scored by a model that was saved and loaded again."""
+    from shelfcast.sources import results
+
+    rows = models.with_label(timeseries.feature_table(prepare.with_split(merged(spark, sf_dir)), subset=["sales_lag_30"]))
+    rows = written(rows.select("Store", "Date", "split", models.LABEL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES), "features")
+    fitted = features.fit(rows.where("split = 'train'"))
+    model = models.estimator("LinearRegression").fit(fitted.model.transform(rows.where("split = 'train'")))
+    path = f"{shared_folder(spark)}/models/{uuid.uuid4().hex}"
+    results.save_fitted(models.full_scorer(fitted.model, model), path)
+    scored = forecast.predict(rows.where("split = 'test'"), results.load_fitted(path))
+    return scored.select("Store", day_text().alias("Date"), F.round("prediction", 2).alias("prediction"))
+
+
 @query()
 def training_run(spark, sf_dir):
     """The whole training job at small settings; returns its score table."""

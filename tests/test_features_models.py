@@ -1,9 +1,13 @@
+import uuid
+
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from shelfcast.operators import features, metrics, models
+from shelfcast.operators import features, metrics, models, trees
 from shelfcast.plans import training
+from shelfcast.session import shared_folder
 from shelfcast.sources import results
 
 
@@ -114,3 +118,47 @@ def test_training_job(spark, sf_dir, tmp_path):
     assert results.load_fitted(f"{folder}/model").transform(rows).where("prediction is null").count() == 0
     with pytest.raises(training.ModelRejected):
         training.train(rows.withColumn("label", F.rand(3)), f"{folder}/bad", {"LinearRegression": {"regParam": [0.0]}}, 2)
+
+
+@pytest.mark.parametrize("family, settings", [("RandomForest", {"numTrees": 5, "maxDepth": 7}), ("GradientBoosting", {"maxIter": 4, "maxDepth": 3})])
+def test_tree_contributions_add_up_to_the_prediction(spark, family, settings):
+    rows = spark.range(600).select(
+        "id", (F.col("id") % 17).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"), (F.xxhash64("id") % 100).cast("double").alias("c"),
+        F.lit(1.0).alias("never"))
+    rows = rows.withColumn(models.LABEL, F.col("a") * F.col("b") + F.sqrt(F.abs("c")))
+    names = ["a", "b", "c", "never"]
+    ready = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
+    model = models.estimator(family, **settings).fit(ready)
+    found = trees.tree_attribution(ready, model, names, ["id"])
+    sums = found.groupBy("id").agg(F.first("prediction").alias("p"), (F.first("base") + F.sum("contribution")).alias("s")).collect()
+    assert len(sums) == 600 and all(r["p"] == pytest.approx(r["s"], abs=1e-9) for r in sums)
+    assert found.where("feature = 'never'").count() == 0
+    assert model.transform(ready).select("id", "prediction").exceptAll(found.select("id", "prediction").distinct()).count() == 0
+    nodes = {(r["tree"], r["node"]): r for r in trees.node_table(spark, model).collect()}  # one row by hand
+    thresholds = {(r["treeID"], r["nodeData"]["id"]): r["nodeData"]["split"]["leftCategoriesOrThreshold"]
+                  for r in spark.read.parquet(_saved(spark, model)).collect()}
+    values, want = ready.where("id = 7").first()["features"].toArray(), {}
+    for tree in {t for t, _ in nodes}:
+        at = nodes[tree, 0]
+        while at["leaf"] is None:
+            below = nodes[tree, at["left"] if values[at["feature"]] <= thresholds[tree, at["node"]][0] else at["right"]]
+            want[names[at["feature"]]] = want.get(names[at["feature"]], 0.0) + below["value"] - at["value"]
+            at = below
+    assert {r["feature"]: r["contribution"] for r in found.where("id = 7").collect()} == pytest.approx(want)
+    assert [r["place"] for r in trees.largest(found, ["id"], 2).where("id = 7").orderBy("place").collect()] == [1, 2]
+
+
+def _saved(spark, model):
+    path = f"{shared_folder(spark)}/models/test-{uuid.uuid4().hex}"
+    model.write().save(path)
+    return f"{path}/data"
+
+
+def test_saved_models_score_alike(spark, tmp_path):
+    rows = spark.range(200).select("id", (F.col("id") % 7).cast("double").alias("a"), F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("k"))
+    rows = rows.withColumn(models.LABEL, F.col("a") * 2 + F.when(F.col("k") == "x", 1).otherwise(0))
+    fitted = features.fit(rows, ["a"], ["k"])
+    scorer = models.full_scorer(fitted.model, models.estimator("LinearRegression").fit(fitted.model.transform(rows)))
+    results.save_fitted(scorer, f"{tmp_path}/m")
+    a, b = (m.transform(rows).select("id", "prediction").orderBy("id").collect() for m in (scorer, results.load_fitted(f"{tmp_path}/m")))
+    assert a == b and a[3]["prediction"] == pytest.approx(7.0, abs=1e-6)
