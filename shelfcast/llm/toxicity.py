@@ -18,6 +18,7 @@ share of label 1 (0 without any). A column named like a result is replaced by it
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +30,7 @@ from shelfcast.llm import crf
 from shelfcast.llm.columns import U, annotate, blocks, flags, mix, owners, prefix_hashes, running, span_hashes, word_spans
 from shelfcast.llm.labelled import sample
 
-ROWS, MOST_CHARS = 6000, 50_000
+ROWS, MOST_CHARS, MOST_TOTAL = 6000, 50_000, 24_000_000
 THRESHOLD = 0.7
 STEPS = (1.0, 1.75, 2.5, 3.25, 4.0)
 LABELLED = 3.0  # evidence from which a word of a toxic document is a toxic token
@@ -47,6 +48,13 @@ def tokens(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, before, np.vstack([whole[None], prefix_hashes(data, starts, ends, PREFIXES, lower=True)])
 
 
+def rows_of_hashes(spans: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
+    """The rows of hashes of several blocks (bytes, starts, ends), one row at a time."""
+    yield np.concatenate([span_hashes(*span, lower=True) for span in spans])
+    for length in PREFIXES:
+        yield np.concatenate([prefix_hashes(*span, range(length, length + 1), lower=True)[0] for span in spans])
+
+
 def contexts(hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
     """A hash of the words before and after each word of the same document."""
     owner = owners(before)
@@ -71,9 +79,9 @@ class ToxicityModel:
         self.maybe = np.zeros(1 << 16, dtype=bool)
         self.maybe[(self.words & U(0xFFFF)).astype(np.int64)] = True
 
-    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of words with evidence, and the evidence."""
-        strongest = np.zeros(hashes.shape[1])
+    def look_up(self, hashes: Iterable[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of words with evidence, and the evidence, from rows of hashes of n words."""
+        strongest = np.zeros(n)
         for row in hashes if len(self.words) else ():
             at = np.flatnonzero(self.maybe[(row & U(0xFFFF)).astype(np.int64)])
             where = np.minimum(np.searchsorted(self.words, row[at]), len(self.words) - 1)
@@ -84,7 +92,9 @@ class ToxicityModel:
 
     def tag(self, hashes: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of words with evidence, their probabilities, and their number before each document."""
-        at, evidence = self.look_up(hashes)
+        return self.tag_found(*self.look_up(hashes, hashes.shape[1]), before)
+
+    def tag_found(self, at: np.ndarray, evidence: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         listed = np.searchsorted(at, before)
         scores = self.chain.scores(steps_of(evidence))
         owner = owners(listed)
@@ -138,17 +148,26 @@ def fit_sample(rows: pd.DataFrame) -> ToxicityModel:
     learn = np.arange(len(labels)) % 3 > 0
     if min(len(set(labels[learn].tolist())), len(set(labels[~learn].tolist()))) < 2:
         return nothing
-    made = [tokens(d, o)[2:] for *_, d, o in blocks(pa.array(rows["text"], pa.string()))]
-    hashes = np.concatenate([h for _, h in made], axis=1)
-    before = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(b) for b, _ in made]))])
-    owner, around = owners(before), contexts(hashes[0], before)
-    toxic = labels[owner]
-    use = learn[owner]
-    weighed = [weigh(row[held], around[held], toxic[held]) for row in hashes for held in [use & (row != 0)]]
+    # Hashes are made a row at a time, and again when they are looked up: all rows at once would
+    # take many times the memory of the texts.
+    spans, counts = [], []
+    for *_, data, offsets in blocks(pa.array(rows["text"], pa.string())):
+        starts, ends, words_before = word_spans(data, offsets, _SEPARATOR)
+        spans.append((data, starts, ends))
+        counts.append(np.diff(words_before))
+    before = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+    owner = owners(before).astype(np.int32)
+    toxic, use = labels[owner].astype(np.int8), learn[owner]
+    around, weighed = None, []
+    for row in rows_of_hashes(spans):
+        around = contexts(row, before) if around is None else around
+        held = use & (row != 0)
+        weighed.append(weigh(row[held], around[held], toxic[held]))
+    del around, held, row
     words, evidence = (np.concatenate(part) for part in zip(*weighed))
     order = np.argsort(words)
     model = ToxicityModel(words[order], evidence[order], None, np.zeros(4), share)
-    at, strength = model.look_up(hashes)
+    at, strength = model.look_up(rows_of_hashes(spans), len(owner))
     if not (use[at] & (toxic[at] == 1) & (strength >= LABELLED)).any():
         return nothing
     # The field sees the words near any evidence; the rest differ in nothing.
@@ -164,17 +183,18 @@ def fit_sample(rows: pd.DataFrame) -> ToxicityModel:
     bounds = np.concatenate([np.flatnonzero(cut), [len(kept)]])
     marked = (toxic[kept] == 1) & (all_evidence[kept] >= LABELLED)
     model.chain = crf.fit(steps_of(all_evidence[kept]), marked, bounds, iterations=60)
-    _, found, listed = model.tag(hashes, before)
+    _, found, listed = model.tag_found(at, strength, before)
     model.curve = crf.calibrate(summaries(found, listed, before)[~learn], labels[~learn], penalty=1e-1)
     return model
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", allowed: Column | None = None, rows: int = ROWS,
-    most_chars: int = MOST_CHARS, id_column: str = "doc_id", text: str = "text",
+    most_chars: int = MOST_CHARS, id_column: str = "doc_id", text: str = "text", most_total: int = MOST_TOTAL,
 ) -> ToxicityModel:
-    """Fit on at most ``rows`` labelled documents of at most ``most_chars`` characters."""
-    return fit_sample(sample(docs, labels, label, rows, most_chars, allowed, id_column, text))
+    """Fit on at most ``rows`` labelled documents of at most ``most_chars`` characters each and
+    ``most_total`` in all; about 20 bytes of memory are taken for each character."""
+    return fit_sample(sample(docs, labels, label, rows, most_chars, allowed, id_column, text, most_total))
 
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm import crf, lm, quality, rules, toxicity
 from shelfcast.llm.columns import blocks, line_spans, span_hashes, word_spans
+from shelfcast.llm.labelled import sample
 from tests.llm.conftest import words
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -256,3 +257,23 @@ def test_model_edges(edge_docs, no_docs):
     assert {(r["score"], r["train_tokens"], r["n_known"]) for r in lm.score(edge_docs, empty).collect()} == {(0.0, 0, 0)}
     assert lm.score(no_docs, model).count() == 0
     assert lm.fit(edge_docs, F.col("doc_id") == 2).tokens == 1
+
+
+def test_toxicity_fit_makes_hashes_a_row_at_a_time():
+    corpus = toxic_corpus(40)
+    spans, whole = [], []
+    for *_, data, offsets in blocks(pa.array(corpus["text"], pa.string()), limit=500):
+        starts, ends, _, hashes = toxicity.tokens(data, offsets)
+        spans.append((data, starts, ends))
+        whole.append(hashes)
+    assert len(spans) > 3
+    for row, want in zip(toxicity.rows_of_hashes(spans), np.concatenate(whole, axis=1), strict=True):
+        assert (row == want).all()
+
+
+def test_sample_stops_at_a_total_length(spark):
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("x" * 100).alias("text"))
+    labels = spark.range(50).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    assert len(sample(docs, labels, "toxic", 40, 200)) == 40
+    assert len(sample(docs, labels, "toxic", 40, 200, most_total=1000)) == 10
+    assert len(sample(docs, labels, "toxic", 40, 200, most_total=50)) == 0
