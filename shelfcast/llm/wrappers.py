@@ -22,7 +22,9 @@ from __future__ import annotations
 import html
 import json
 import re
+import sys
 import zlib
+from collections import Counter
 from functools import lru_cache
 
 import pandas as pd
@@ -35,6 +37,7 @@ from shelfcast.session import written
 SALTS = 32  # parts into which pages of a host are dealt to meet their wrapper
 LEAST_PAGES = 3  # distinct pages of equal text that make a text part of the template
 SHARE = 20  # and so many percent of the host's distinct pages
+DEEPEST = 100_000_000  # calls inside each other; a page's own length bounds its levels
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -67,14 +70,27 @@ class Node:
         self.here: list[str] = []
 
     def dump(self) -> list:
-        return [self.key, self.repeated, self.optional, self.text, self.pages, self.chars, self.linked, [c.dump() for c in self.children]]
+        """The tree as a flat list of tags, each before what it holds, with the number of its children."""
+        out, stack = [], [self]
+        while stack:
+            node = stack.pop()
+            out.append([node.key, node.repeated, node.optional, node.text, node.pages, node.chars, node.linked, len(node.children)])
+            stack.extend(reversed(node.children))
+        return out
 
     @staticmethod
     def read(parts: list) -> Node:
-        node = Node(parts[0])
-        node.repeated, node.optional, node.text, node.pages, node.chars, node.linked = parts[1:7]
-        node.children = [Node.read(p) for p in parts[7]]
-        return node
+        root = Node("")
+        waiting = [[root, 1]]  # tags with the number of children still to come
+        for key, repeated, optional, text, pages, chars, linked, children in parts:
+            node = Node(key)
+            node.repeated, node.optional, node.text, node.pages, node.chars, node.linked = repeated, optional, text, pages, chars, linked
+            while not waiting[-1][1]:
+                waiting.pop()
+            waiting[-1][0].children.append(node)
+            waiting[-1][1] -= 1
+            waiting.append([node, children])
+        return root.children[0]
 
     @property
     def tag(self) -> str:
@@ -104,6 +120,7 @@ def parse(page: str) -> tuple[Node, list[tuple[str, list[Node], bool]]]:
     """The tree of a page and its texts in order: (block text, tags around it)."""
     root = Node("")
     path, texts, pieces = [root], [], []
+    opened: Counter[str] = Counter()  # tags on the path
     links, linked, at = 0, 0, 0
     muted, depth = "", 0  # an inline tag that is clutter, inside a block
 
@@ -111,15 +128,18 @@ def parse(page: str) -> tuple[Node, list[tuple[str, list[Node], bool]]]:
         nonlocal linked, muted
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            texts.append((text, list(path), 2 * linked > len(text)))
+            texts.append((text, path[-1:], 2 * linked > len(text)))
         pieces.clear()
         linked, muted = 0, ""
 
+    def close() -> None:
+        opened[path.pop().tag] -= 1
+
     def leave(tag: str) -> None:
-        if any(n.tag == tag for n in path[1:]):
+        if opened[tag]:
             while path[-1].tag != tag:
-                path.pop()
-            path.pop()
+                close()
+            close()
 
     while at < len(page):
         m = _MARKUP.search(page, at)
@@ -152,17 +172,19 @@ def parse(page: str) -> tuple[Node, list[tuple[str, list[Node], bool]]]:
         if tag in _VOID:
             continue
         if tag in _RAW:
-            if not m[3].endswith("/"):
-                closing = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = closing.end() if closing else len(page)
+            if tag == "svg" and m[3].endswith("/"):  # a slash closes no other of these
+                continue
+            closing = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            at = closing.end() if closing else len(page)
             continue
         if tag in _ENDS_P and path[-1].tag == "p":
-            path.pop()
+            close()
         if tag in ("li", "tr", "td", "th", "dt", "dd", "option") and path[-1].tag == tag:
-            path.pop()
+            close()
         node = Node(tag_key(tag, m[3]))
         path[-1].children.append(node)
         path.append(node)
+        opened[node.tag] += 1
     end_block()
     for text, around, link in texts:
         holder = around[-1]
@@ -271,7 +293,9 @@ def aligned(a: Node, b: Node, within: bool = False) -> Node:
 
 def expression(node: Node) -> str:
     """The wrapper as a regular expression over tags; #text is a slot."""
-    inner = ("" if node.text is None else "#text" if node.text == -1 else "'text'") + "".join(map(expression, node.children))
+    inner = "" if node.text is None else "#text" if node.text == -1 else "'text'"
+    for child in node.children:
+        inner += expression(child)
     body = f"<{node.key}>{inner}</{node.key}>" if node.key else inner
     return f"({body})" + ("*" if node.optional else "+") if node.repeated else f"({body})?" if node.optional else body
 
@@ -319,7 +343,19 @@ def mark(root: Node, pages: int) -> None:
 
 
 def _chars(node: Node) -> int:
-    return 0 if clutter(node.key) else node.chars + sum(map(_chars, node.children))
+    total, stack = 0, [node]
+    while stack:
+        here = stack.pop()
+        if not clutter(here.key):
+            total += here.chars
+            stack.extend(here.children)
+    return total
+
+
+def deep() -> None:
+    """Let functions call themselves once for every level of the deepest page. Such calls take
+    memory from the heap and none of the machine's stack."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), DEEPEST))
 
 
 def extract(page: str, wrapper: Node | None) -> str:
@@ -376,6 +412,7 @@ def infer(pages: DataFrame, url: str = "url", markup: str = "html") -> DataFrame
     """(host, pages, wrapper, expression) of every host; copies of a page count as pages, but are
     aligned once."""
     def part(batches):
+        deep()
         for batch in batches:
             held: dict[str, list] = {}
             for host, page, copies in zip(*(batch.column(k).to_pylist() for k in range(3))):
@@ -388,6 +425,7 @@ def infer(pages: DataFrame, url: str = "url", markup: str = "html") -> DataFrame
 
     def whole(key, pdf: pd.DataFrame) -> pd.DataFrame:
         # Partial wrappers are few: one for each batch of rows. Sorted, they give one result.
+        deep()
         total, tree = 0, None
         for text in sorted(pdf["wrapper"]):
             n, parts = json.loads(text)
@@ -416,6 +454,7 @@ def main_text(pages: DataFrame, url: str = "url", markup: str = "html", keep: li
     together = source.join(salted, ["host", "salt"], "left").select(*names, "page", "wrapper")
 
     def run(batches):
+        deep()
         for batch in batches:
             texts = [extract(p, None if w is None else marked(w)) for p, w in zip(*(batch.column(len(names) + k).to_pylist() for k in (0, 1)))]
             yield pa.RecordBatch.from_arrays(

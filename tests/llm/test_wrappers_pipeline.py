@@ -94,7 +94,7 @@ def test_template_needs_distinct_pages_and_a_share(spark):
 
 def test_queries_are_registered():
     names = set(__spark_entry__.queries())
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14)) and "pipeline" in names
     assert set(queries.ORACLES) <= names
 
 
@@ -134,3 +134,26 @@ def test_stages_on_edges(spark, sf_dir, edge_docs, no_docs):
 @pytest.mark.parametrize("name", ["op4_neighbours", "op7_html"])
 def test_queries_run(spark, sf_dir, name):
     assert queries.QUERIES[name](spark, sf_dir).count() > 0 and public_tokenizers
+
+
+def test_deep_pages_do_not_end_the_job(spark):
+    """Unclosed and deeply nested tags, alone and next to an ordinary page of the host."""
+    depth = 20_000
+    rows = [(1, "http://h/1", "<div>" * depth), (2, "http://h/2", "<div>" * depth + "<p>Deep text.</p>" + "</div>" * depth),
+            (3, "http://h/3", page(3, 2)), (4, "http://h/4", "<article>" + "<div>" * depth + "<p>Inside.</p></article>"),
+            (5, "http://h/5", "<ul><li>" * depth + "x"), (6, "http://h/6", "</div>" * depth + "<p>End</p>" + "<a.b>" * 50 + "</a.b>" * 60)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in wrappers.main_text(pages.coalesce(1)).collect()}
+    assert len(got) == 6 and got[1] == "" and got[4] == "Inside." and got[3].startswith("Title 3 & more")
+    assert got[2] == "Deep text."
+
+
+def test_flat_dump_is_read_back():
+    tree = wrappers.folded(wrappers.parse("<div><p>a</p><p>b</p><ul><li>x<li>y</ul></div><div><b>c</b></div>")[0])
+    again = wrappers.Node.read(json.loads(json.dumps(tree.dump())))
+    assert again.dump() == tree.dump() and wrappers.expression(again) == wrappers.expression(tree)
+
+
+def test_a_slash_closes_no_script():
+    text = wrappers.extract("<article><p>One.</p><script src=/a/>var x=1;</script><style/>p{}</style><p>Two <svg/>three.</p></article>", None)
+    assert "var" not in text and "{" not in text and text.replace("\n", " ").split() == ["One.", "Two", "three."]
