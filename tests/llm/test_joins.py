@@ -3,6 +3,7 @@ import inspect
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -246,3 +247,16 @@ def test_neighbours_edges(spark):
 def test_chi_square():
     assert abs(neighbours.chi_square_above(15.507, 8) - 0.05) < 1e-4
     assert abs(neighbours.chi_square_limit(0.05, 8) - 15.507) < 1e-2
+
+
+def test_remove_from_a_document_of_very_many_lines(spark):
+    """Every line stands twice; each is split off once, so many lines take little longer."""
+    lines = [f"line number {k} tells something of its own, {k * 7919 % 10007}" for k in range(6000)]
+    docs = spark.createDataFrame([(1, "\n".join(lines + lines))], "doc_id bigint, text string")
+    lost = spark.createDataFrame([(1, "\n".join(lines + lines), list(range(6000, 12000)))], "doc_id bigint, text string, removed array<int>")
+    known = lost.select(F.xxhash64("doc_id", "text").alias("document"), "removed")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(linededup, "removals", lambda *a: known)
+        start = time.time()
+        assert linededup.remove(docs).first()["text"] == "\n".join(lines)
+        assert time.time() - start < 20
