@@ -14,10 +14,9 @@ PROFILE_PROMO = "The store participates in continuous promotion (Promo2) since y
 PROFILE_INTERVAL = "Promotion intervals are: {0}. "
 PROFILE_NO_PROMO = "The store does not participate in the continuous Promo2 program. "
 
-# Question asked per store, prompt and fallback texts.
+# Question asked per store and prompt.
 STORE_QUESTION = "Store {0} sales profile assortment competition promo"
 NO_CONTEXT = "No store context available."
-FALLBACK_ANALYSIS = "Predicted Sales: {0}. (AI Analysis unavailable: {1})"
 ANALYSIS_PROMPT = """
 You are an Elite Retail Business Consultant. 
 Analyze the forecast and provide sharp, data-driven insights.

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
@@ -19,6 +18,7 @@ from shelfcast.functions.text import quoted
 from shelfcast.operators.explore import per_column
 from shelfcast.operators.quantiles import modes, quantiles
 from shelfcast.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from shelfcast.session import forget, written
 
 
 @dataclass(frozen=True)
@@ -93,14 +93,12 @@ def fit(
     """Statistics of the training rows only. An unknown category later becomes all zeros."""
     numeric = NUMERIC_FEATURES if numeric is None else numeric
     categorical = CATEGORICAL_FEATURES if categorical is None else categorical
-    # Several passes over a few columns: keep those instead of rebuilding the features each time.
-    held = train.select(*numeric, *categorical).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        medians, means, deviations = _numeric_statistics(held, numeric)
-        common = {r["column"]: r["value"] for r in modes(held, categorical).collect()} if categorical else {}
-        categories, stages = encoders(held, {c: common[c] for c in categorical})
-    finally:
-        held.unpersist()
+    # Several passes over a few columns: write those instead of rebuilding the features each time.
+    held = written(train.select(*dict.fromkeys([*numeric, *categorical])), "fit-columns")
+    medians, means, deviations = _numeric_statistics(held, numeric)
+    common = {r["column"]: r["value"] for r in modes(held, categorical).collect()} if categorical else {}
+    categories, stages = encoders(held, {c: common[c] for c in categorical})
+    forget(held)
     names = [f"scaled_{c}" for c in numeric] + [f"onehot_{c}" for c in categories]
     model = PipelineModel([
         SQLTransformer(statement=projection(medians, means, deviations, common)), *stages,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfcast.functions.text import signed_percent
 from shelfcast.operators import baseline, forecast, metrics, prepare, timeseries
 from shelfcast.plans.registry import SPLIT_SQL, day_text, query, rounded, sql
 from shelfcast.session import written
@@ -172,6 +173,14 @@ def whatif_uplift(spark, sf_dir):
     return rounded(rounded(out, "base_total", "promo_total", "uplift", places=2), "uplift_percent")
 
 
+@query(sql("""select Store, printf('%+.1f%%', round(case when base > 0 then (promo-base)/base*100 else 0 end,6)) as change from (
+ select Store, sum(case when Promo=0 then prediction end) as base, sum(case when Promo=1 then prediction end) as promo from path group by 1)""", **PATH_SQL))
+def whatif_texts(spark, sf_dir):
+    """The promotion's effect on each store as it is shown: a percentage with its sign."""
+    out = rounded(forecast.uplift(forecast.compare_days(_path(spark, sf_dir))), "uplift_percent")
+    return out.select("Store", signed_percent(F.col("uplift_percent")).alias("change"))
+
+
 @query(sql("select Store, cast(Date as varchar) as Date, round(max(case when Promo=0 then prediction end),2) as base, round(max(case when Promo=1 then prediction end),2) as promo from path group by 1, 2", **PATH_SQL))
 def whatif_days(spark, sf_dir):
     out = forecast.compare_days(_path(spark, sf_dir))
