@@ -31,15 +31,18 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, sample deviation, min, exact quartiles and max, one row per column."""
-    long = value_table(df, columns)
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    values = value_table(df, columns)
+    sums = values.groupBy("column").agg(
+        F.sum("rows").alias("n"),
+        (F.sum(F.col("value") * F.col("rows")) / F.sum("rows")).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    return moments.join(quantiles_of(long, [0.25, 0.5, 0.75]), "column")
+    away = F.col("value") - F.col("mean")
+    # One row per named column.
+    spread = values.join(F.broadcast(sums), "column").groupBy("column").agg((F.sum(away * away * F.col("rows")) / F.nullif(F.first("n") - 1, F.lit(0))).alias("v"))
+    moments = sums.join(spread, "column").select("column", "n", "mean", F.sqrt("v").alias("std"), "min", "max")
+    return moments.join(quantiles_of(values, [0.25, 0.5, 0.75]), "column")
 
 
 def per_column(df: DataFrame, measures: dict[str, dict[str, Column]]) -> DataFrame:
@@ -83,16 +86,16 @@ def fences_of(values: DataFrame) -> DataFrame:
 
 def outliers(df: DataFrame, columns: list[str], upper_only: bool = False) -> DataFrame:
     """Number and share of values beyond the fences."""
-    long = value_table(df, columns)
+    values = value_table(df, columns)
     # One row per named column: safe to broadcast whatever the data size.
-    held = long.join(F.broadcast(fences_of(long)), "column")
+    held = values.join(F.broadcast(fences_of(values)), "column")
     beyond = F.col("value") > F.col("upper")
     if not upper_only:
         beyond = beyond | (F.col("value") < F.col("lower"))
     return held.groupBy("column", "q25", "q75", "lower", "upper").agg(
-        F.count_if(beyond).alias("outliers"),
-        F.count("*").alias("n"),
-        (F.count_if(beyond) / F.count("*") * 100).alias("outlier_percent"),
+        F.sum(F.when(beyond, F.col("rows")).otherwise(0)).alias("outliers"),
+        F.sum("rows").alias("n"),
+        (F.sum(F.when(beyond, F.col("rows")).otherwise(0)) / F.sum("rows") * 100).alias("outlier_percent"),
     )
 
 
@@ -181,14 +184,14 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 50) -> DataFrame:
 
 def box_plot(df: DataFrame, columns: list[str]) -> DataFrame:
     """Quartiles, whiskers (last values inside the fences) and points beyond them, per column."""
-    long = value_table(df, columns)
+    values = value_table(df, columns)
     reach = (F.col("q75") - F.col("q25")) * 1.5
-    held = long.join(F.broadcast(quantiles_of(long, [0.25, 0.5, 0.75])), "column")  # one row per named column
+    held = values.join(F.broadcast(quantiles_of(values, [0.25, 0.5, 0.75])), "column")  # one row per named column
     inside = F.col("value").between(F.col("q25") - reach, F.col("q75") + reach)
     return held.groupBy("column", "q25", "q50", "q75").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.count_if(~inside).alias("fliers"),
+        F.sum(F.when(inside, 0).otherwise(F.col("rows"))).alias("fliers"),
     )
 
 

@@ -45,8 +45,10 @@ def with_ordered_bits(df: DataFrame, value: str = "value", name: str = "bits") -
 
 
 def value_table(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, value, bits) of all non-null values, written once for everything that reads them."""
-    return written(with_ordered_bits(long_form(df, columns)), "values")
+    """(column, value, rows, bits): the distinct non-null values and how often each occurs, written
+    once for everything that reads them. Copies fold before the shuffle."""
+    counted = long_form(df, columns).groupBy("column", "value").agg(F.count("*").alias("rows"))
+    return written(with_ordered_bits(counted), "values")
 
 
 def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
@@ -67,16 +69,16 @@ def quantiles_of(values: DataFrame, probabilities: list[float]) -> DataFrame:
     spark = values.sparkSession
     position = F.col("p") * (F.col("n") - 1)
     wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
-    asked = values.groupBy("column").agg(F.count("*").alias("n")).select("column", "n", F.inline(wanted)).select(
+    asked = values.groupBy("column").agg(F.sum("rows").alias("n")).select("column", "n", F.inline(wanted)).select(
         "column", "i", F.inline(F.array(*[F.struct(F.lit(k).alias("side"), at(position).alias("rank")) for k, at in enumerate((F.floor, F.ceil))])),
         (position - F.floor(position)).alias("part"), F.lit(0).cast("bigint").alias("prefix"), F.lit(0.0).alias("value"))
     for shift in (48, 32, 16, 0):
         found = spark.createDataFrame(asked.collect(), asked.schema)
         higher = F.shiftright("bits", shift + 16) if shift < 48 else F.lit(0).cast("bigint")
-        digits = values.select("column", higher.alias("prefix"), F.shiftright("bits", shift).alias("digit"), "value")
+        digits = values.select("column", higher.alias("prefix"), F.shiftright("bits", shift).alias("digit"), "value", "rows")
         # One row per column and position on the small side.
         counted = digits.join(F.broadcast(found.select("column", "prefix").distinct()), ["column", "prefix"]).groupBy(
-            "column", "prefix", "digit").agg(F.count("*").alias("rows"), F.min("value").alias("least"))
+            "column", "prefix", "digit").agg(F.sum("rows").alias("rows"), F.min("value").alias("least"))
         upto = W.partitionBy("column", "prefix").orderBy("digit").rowsBetween(W.unboundedPreceding, W.currentRow)
         seen = counted.withColumn("upto", F.sum("rows").over(upto)).withColumn("below", F.col("upto") - F.col("rows"))
         inside = (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("below"))
