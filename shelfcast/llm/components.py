@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.session import written
+from shelfcast.session import forget, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -29,7 +29,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        edges = written(small.where("u != v").distinct(), "links")
+        before, edges = edges, written(small.where("u != v").distinct(), "links")
+        forget(before)
         new = _state(edges)
         if new == state:
             break

@@ -16,9 +16,10 @@ difference, then exactly. So no link between components is lost and copies are n
 with each other. Only pairs that pass the bit sketch leave a task.
 
 Null and empty texts have an empty set, which links with nothing: they are their own component.
-Repeated rows count as copies. Documents with equal ids are one document of all their texts. A
-row without an id is returned with a null component and links with nothing. An empty table gives
-an empty table. Other columns play no part.
+Repeated rows count as copies. Rows of one id are one document: what one of its texts links with,
+all of them reach, but each text is compared as it is. In ``one_of_each`` an id with unlike texts
+keeps all of them. A row without an id is returned with a null component and links with nothing.
+An empty table gives an empty table. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -26,15 +27,16 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.columns import U, blocks, mix, ngram_hashes, owners, repeated, span_hashes, texts_only, word_spans
 from shelfcast.llm.components import components
-from shelfcast.session import written
+from shelfcast.session import forget, written
 
 SLICE = 1 << 20  # keys in one hashed slice, about
 FLUSH = 1 << 21  # keys a task holds before it hands them on
+BLOCK = 512  # sets of a key that are compared with so many others in a task
 
 
 class Bands:
@@ -125,11 +127,16 @@ def fold_sketch(sketch: bytes, length: int) -> np.ndarray:
     return words
 
 
+def marked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(id, text, mark): ``mark`` tells the texts of one id apart."""
+    return texts_only(docs, id_column, text).select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.md5(text).alias("mark"))
+
+
 def describe(docs: DataFrame, width: int, num: int, den: int, id_column: str, text: str) -> DataFrame:
-    """(id, n_shingles, digest_a, digest_b, keys, sketch) of every document."""
-    source = texts_only(docs, id_column, text)
+    """(id, mark, n, digest_a, digest_b, n_keys, keys, sketch) of every document."""
+    source = marked(docs, id_column, text)
     kind = source.schema[0].dataType.simpleString()
-    names = [id_column, "n_shingles", "digest_a", "digest_b", "n_keys", "keys", "sketch"]
+    names = ["id", "mark", "n", "digest_a", "digest_b", "n_keys", "keys", "sketch"]
     bands = Bands(num, den)
 
     def run(batches):
@@ -142,12 +149,13 @@ def describe(docs: DataFrame, width: int, num: int, den: int, id_column: str, te
                                for salt in (U(0x8CB92BA72F3D8DD7), U(0x7F4A7C159E3779B9))]
                 flat, bounds = keys.tobytes(), (8 * of_set).tolist()
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(low, high - low), pa.array(np.diff(before), pa.int64()), *map(pa.array, digests),
-                    pa.array(np.diff(of_set), pa.int64()), pa.array([flat[a:b] for a, b in zip(bounds, bounds[1:])], pa.binary()),
-                    pa.array(bit_sketches(members, before), pa.binary())], names=names)
+                    batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low), pa.array(np.diff(before), pa.int64()),
+                    *map(pa.array, digests), pa.array(np.diff(of_set), pa.int64()),
+                    pa.array([flat[a:b] for a, b in zip(bounds, bounds[1:])], pa.binary()), pa.array(bit_sketches(members, before), pa.binary())],
+                    names=names)
 
     return source.mapInArrow(
-        run, f"`{id_column}` {kind}, n_shingles bigint, digest_a bigint, digest_b bigint, n_keys bigint, keys binary, sketch binary")
+        run, f"id {kind}, mark string, n bigint, digest_a bigint, digest_b bigint, n_keys bigint, keys binary, sketch binary")
 
 
 def shared_keys(sets: DataFrame, slices: int) -> DataFrame:
@@ -207,45 +215,74 @@ def bound(total: np.ndarray, num: int, den: int) -> np.ndarray:
     return (den - num) * total // (den + num)
 
 
-def across(rows: DataFrame, num: int, den: int) -> DataFrame:
+def across(known: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of nodes that share a key, lie in different components and pass the bit
-    sketch, from rows (key, node, component, n, sketch). Keys are dealt by hash; only passing
-    pairs leave a task."""
-    def pairs(nodes, component, n, sketches):
-        length = min(map(len, sketches))
-        matrix = np.stack([fold_sketch(s, length) for s in sketches])
-        made, step = [], max(1, (1 << 20) // (matrix.shape[1] * len(nodes)))
-        for at in range(0, len(nodes), step):
-            here = slice(at, at + step)
-            apart = np.bitwise_count(matrix[here, None, :] ^ matrix[None]).sum(axis=2, dtype=np.int64)
-            i, j = np.nonzero((component[here, None] < component[None]) & (apart <= bound(n[here, None] + n[None], num, den)))
-            made.append(np.column_stack([nodes[at + i], nodes[j]]))
-        return np.concatenate(made)
+    sketch, from rows (key, node, component) and (node, n, sketch).
+
+    A pair of different components has a member outside of the largest component of its key.
+    These members are compared with all. A key of more than ``BLOCK`` members is dealt by hash into
+    blocks of about ``BLOCK`` by ``BLOCK``, which many tasks share; only passing pairs leave a task."""
+    counted = known.groupBy("key", "component").agg(F.count("*").alias("m"))
+    most = counted.groupBy("key").agg(F.max(F.struct("m", "component")).alias("most"), F.sum("m").alias("members")).where("most.m < members")
+    found = written(known.join(most, "key").select(
+        "key", "node", "component", "members", (F.col("component") == F.col("most.component")).alias("major"),
+        F.ceil((F.col("members") - F.col("most.m")) / BLOCK).alias("rows"), F.ceil(F.col("members") / BLOCK).alias("columns")), "open")
+
+    def dealt(part: DataFrame, i: Column, j: Column, side: int) -> DataFrame:
+        return part.select("key", i.alias("i"), j.alias("j"), "node", "component", "major", F.lit(side).alias("side"))
+
+    def place(n: str) -> Column:
+        return F.pmod(F.xxhash64("node"), F.col(n))
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+
+    zero, large = F.lit(0).cast("bigint"), found.where(f"members > {BLOCK}")
+    blocked = dealt(found.where(f"members <= {BLOCK}"), zero, zero, 0).union(
+        dealt(large.where("not major"), place("rows"), every("columns"), 1)).union(dealt(large, every("rows"), place("columns"), 2))
+
+    def pairs(rows: pd.DataFrame) -> np.ndarray:
+        x, y = rows[(rows["side"] != 2) & ~rows["major"]], rows[rows["side"] != 1]
+        if not len(x) or not len(y):
+            return np.zeros((0, 2), dtype=np.int64)
+        length = min(map(len, rows["sketch"]))
+        here, there = (np.stack([fold_sketch(s, length) for s in part["sketch"]]) for part in (x, y))
+        (nodes, ours, sizes), (others, theirs, lengths) = ([part[c].to_numpy() for c in ("node", "component", "n")] for part in (x, y))
+        major, made = y["major"].to_numpy(), []
+        step = max(1, (1 << 20) // (here.shape[1] * len(y)))
+        for at in range(0, len(x), step):
+            part = slice(at, at + step)
+            apart = np.bitwise_count(here[part, None, :] ^ there[None]).sum(axis=2, dtype=np.int64)
+            once = major[None] | (nodes[part, None] < others[None])
+            i, j = np.nonzero((ours[part, None] != theirs[None]) & once & (apart <= bound(sizes[part, None] + lengths[None], num, den)))
+            made.append(np.column_stack([nodes[at + i], others[j]]))
+        found = np.concatenate(made)
+        return np.column_stack([found.min(axis=1), found.max(axis=1)])
 
     def run(batches):
         last, held = None, []
         for batch in batches:
             pdf = batch.to_pandas()
-            keys = pdf["key"].to_numpy()
-            cuts = np.flatnonzero(np.diff(keys)) + 1
-            for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])):
+            places = pdf[["key", "i", "j"]].to_numpy()
+            cuts = np.flatnonzero((places[1:] != places[:-1]).any(axis=1)) + 1
+            for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(pdf)]])):
                 if a == b:
                     continue
-                if last is not None and keys[a] != last:
+                if last is not None and (places[a] != last).any():
                     yield from finish(held)
                     held = []
-                last = keys[a]
+                last = places[a]
                 held.append(pdf.iloc[a:b])
         yield from finish(held)
 
     def finish(held):
         if held:
-            rows = pd.concat(held)
-            found = pairs(*(rows[c].to_numpy() for c in ("node", "component", "n")), rows["sketch"].tolist())
+            found = pairs(pd.concat(held) if len(held) > 1 else held[0])
             if len(found):
                 yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint").distinct()
+    by = ["key", "i", "j"]
+    return blocked.join(sketches, "node").repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def near_by_sketch(edges: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -268,10 +305,10 @@ def near_by_sketch(edges: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def verified(edges: DataFrame, docs: DataFrame, width: int, num: int, den: int, id_column: str, text: str) -> DataFrame:
+def verified(edges: DataFrame, sets: DataFrame, docs: DataFrame, width: int, num: int, den: int, id_column: str, text: str) -> DataFrame:
     """The pairs (a, b) that link: their sets are built again from the texts and intersected."""
-    wanted = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = texts_only(docs, id_column, text).withColumn("node", F.col(id_column).cast("bigint")).select("node", F.col(text).alias("text"))
+    wanted = sets.join(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "id", "mark")
+    texts = marked(docs, id_column, text).withColumn("id", F.col("id").cast("bigint")).join(wanted, ["id", "mark"]).select("node", "text")
 
     def build(batches):
         for batch in batches:
@@ -280,7 +317,8 @@ def verified(edges: DataFrame, docs: DataFrame, width: int, num: int, den: int,
                 rows = [np.sort(members[a:b]).tobytes() for a, b in zip(before, before[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(rows, pa.binary())], names=["node", "members"])
 
-    sets = written(texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(build, "node bigint, members binary"), "sets")
+    built = texts.mapInArrow(build, "node bigint, members binary").groupBy("node").agg(F.any_value("members").alias("members"))  # repeated rows
+    built = written(built, "members")
 
     def run(batches):
         for batch in batches:
@@ -292,37 +330,49 @@ def verified(edges: DataFrame, docs: DataFrame, width: int, num: int, den: int,
             passed = pa.array(passed, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(passed) for k in (0, 1)], names=["a", "b"])
 
-    with_a = edges.join(sets.withColumnsRenamed({"node": "a", "members": "m_a"}), "a")
-    with_both = with_a.join(sets.withColumnsRenamed({"node": "b", "members": "m_b"}), "b").select("a", "b", "m_a", "m_b")
-    return with_both.mapInArrow(run, "a bigint, b bigint").distinct()
+    with_a = edges.join(built.withColumnsRenamed({"node": "a", "members": "m_a"}), "a")
+    with_both = with_a.join(built.withColumnsRenamed({"node": "b", "members": "m_b"}), "b").select("a", "b", "m_a", "m_b")
+    linked = written(with_both.mapInArrow(run, "a bigint, b bigint").distinct(), "linked")
+    forget(built)
+    return linked
 
 
-def similar(
-    docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_column: str = "doc_id", text: str = "text",
-) -> DataFrame:
-    """(id, n_shingles, component_id): documents linked, directly or through others, by a Jaccard
-    similarity of at least num / den of their sets of ``width``-word shingles. Ids are integers;
-    ``component_id`` is the smallest id of the component."""
+DIGEST = ["n", "digest_a", "digest_b"]
+
+
+def groups(
+    docs: DataFrame, width: int, num: int, den: int, id_column: str, text: str, by_id: bool,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, mark, n, digest_a, digest_b) of all documents, and (n, digest_a, digest_b, component)
+    of all sets that are not empty. ``by_id`` joins the sets of one id as well."""
     described = written(describe(docs, width, num, den, id_column, text), "described")
-    digest = ["n_shingles", "digest_a", "digest_b"]
-    usable = described.where(F.col(id_column).isNotNull() & (F.col("n_shingles") > 0))
-    first = usable.groupBy(*digest).agg(F.min(F.col(id_column).cast("bigint")).alias("node"))
-    chosen = first.join(usable, digest).where(F.col("node") == F.col(id_column).cast("bigint"))
-    sets = written(chosen.select("node", F.col("n_shingles").alias("n"), "n_keys", "keys", "sketch").dropDuplicates(["node"]), "sets")
+    usable = described.where(F.col("id").isNotNull() & (F.col("n") > 0))
+    # Copies fold before the shuffle; the set of the smallest id stays, with all it needs.
+    whole = F.min(F.struct(F.col("id").cast("bigint").alias("id"), "mark", "n_keys", "keys", "sketch")).alias("w")
+    sets = written(usable.groupBy(*DIGEST).agg(whole).select(
+        F.monotonically_increasing_id().alias("node"), *DIGEST, "w.*"), "sets")
+    rows = written(described.select("id", "mark", *DIGEST), "rows")
+    forget(described)
     slices = max(1, -(-(sets.agg(F.sum("n_keys")).first()[0] or 0) // SLICE))
     shared = written(shared_keys(sets, slices), "shared")
     sketches = sets.select("node", "n", "sketch")
+    rest_of = (sets, docs, width, num, den, id_column, text)
 
     centre = shared.groupBy("key").agg(F.min("node").alias("a"))
     stars = shared.join(centre, "key").where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")).distinct()
     passing = written(near_by_sketch(stars, sketches, num, den), "stars")
-    links = written(verified(passing, docs, width, num, den, id_column, text), "linked")
-    found = written(components(links), "components")
+    found = written(components(verified(passing, *rest_of)), "components")
 
     known = shared.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    open_keys = known.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    rest = known.join(open_keys, "key", "left_semi").join(sketches, "node").select("key", "node", "component", "n", "sketch")
-    more = written(verified(written(across(rest, num, den), "across"), docs, width, num, den, id_column, text), "linked")
+    inner = written(across(known, sketches, num, den), "across")
+    forget(shared)
+    more = verified(inner, *rest_of)
+    if by_id:
+        ends = [F.struct(*[f(c).alias(c) for c in DIGEST]) for f in (F.min, F.max)]
+        several = rows.where("n > 0 and id is not null").groupBy("id").agg(ends[0].alias("x"), ends[1].alias("y")).where("x != y").select("id")
+        texts = rows.where("n > 0").join(several, "id", "left_semi").join(sets.select("node", *DIGEST), DIGEST).select("id", "node")
+        firsts = texts.groupBy("id").agg(F.min("node").alias("a"))
+        more = more.union(texts.join(firsts, "id").where("node != a").select("a", F.col("node").alias("b")))
 
     def side(name: str, component: str) -> DataFrame:
         return found.select(F.col("node").alias(name), F.col("component").alias(component))
@@ -330,9 +380,39 @@ def similar(
     joined = components(more.join(side("a", "x"), "a", "left").join(side("b", "y"), "b", "left").select(
         F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")))
     roots = joined.select(F.col("node").alias("component"), F.col("component").alias("root"))
-    membership = first.select("node").distinct().join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    by_node = membership.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component_id"))
-    classes = first.join(by_node, "node").select(*digest, "component_id")
-    rows = described.select(id_column, *digest).join(classes, digest, "left")
-    own = F.when(F.col(id_column).isNotNull(), F.coalesce(F.col("component_id"), F.col(id_column).cast("bigint")))
-    return rows.select(id_column, "n_shingles", own.alias("component_id"))
+    membership = sets.join(found, "node", "left").select(*DIGEST, "id", F.coalesce("component", "node").alias("component"))
+    classes = membership.join(roots, "component", "left").select(*DIGEST, F.col("id").alias("smallest"), F.coalesce("root", "component").alias("component"))
+    return rows, classes
+
+
+def similar(
+    docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_column: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """(id, n_shingles, component_id): documents linked, directly or through others, by a Jaccard
+    similarity of at least num / den of their sets of ``width``-word shingles. Ids are integers;
+    ``component_id`` is the smallest id of the component."""
+    rows, classes = groups(docs, width, num, den, id_column, text, by_id=True)
+    smallest = classes.groupBy("component").agg(F.min("smallest").alias("component_id"))
+    named = classes.join(smallest, "component").select(*DIGEST, "component_id")
+    own = F.when(F.col("id").isNotNull(), F.coalesce(F.col("component_id"), F.col("id").cast("bigint")))
+    return rows.join(named, DIGEST, "left").select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def one_of_each(
+    docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_column: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """The documents without near copies: of each group of sets that link, directly or through
+    others, the row of the smallest id, of an id's texts the one of the smallest digest, of repeated
+    rows any one. Rows without an id stay, as do rows without words but for repeats."""
+    rows, classes = groups(docs, width, num, den, id_column, text, by_id=False)
+    rows = rows.where(F.col("id").isNotNull() & (F.col("n") > 0)).join(classes, DIGEST)
+    first = rows.groupBy("component").agg(F.min(F.struct("id", "mark")).alias("first"))
+    lost = rows.join(first, "component").where(F.struct("id", "mark") != F.col("first")).select(
+        F.col("id").alias("lost_id"), F.col("mark").alias("lost_mark")).distinct()
+    # Repeats fold before the shuffle, which serves the join as well.
+    own = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    again = Window.partitionBy(F.col(id_column), "own_mark").orderBy("own_mark")
+    known = docs.where(F.col(id_column).isNotNull()).withColumn("own_mark", own)
+    single = known.withColumn("own_place", F.row_number().over(again)).where("own_place = 1")
+    left = single.join(lost, (F.col(id_column) == F.col("lost_id")) & (F.col("own_mark") == F.col("lost_mark")), "left_anti")
+    return left.select(*docs.columns).union(docs.where(F.col(id_column).isNull()))

@@ -260,3 +260,30 @@ def test_remove_from_a_document_of_very_many_lines(spark):
         start = time.time()
         assert linededup.remove(docs).first()["text"] == "\n".join(lines)
         assert time.time() - start < 20
+
+
+def test_unlike_texts_of_one_id(spark, make_text):
+    """Links of any text of an id count for the id; without repeats only copies go."""
+    a, b, c = make_text(31, 200), make_text(32, 200), make_text(33, 200)
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, c), (4, c), (5, ""), (5, a), (None, a), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {(r["doc_id"], r["component_id"]) for r in parity.similar(docs).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 5), (5, 1), (None, None), (6, 6)}
+    left = sorted((r["doc_id"] or 0, r["text"]) for r in parity.one_of_each(docs).collect())
+    assert left == sorted([(1, a), (1, b), (4, c), (5, ""), (0, a), (6, "")])
+
+
+def test_one_large_key_is_dealt_in_blocks(spark, monkeypatch):
+    """Sets of one key: pairs of different components, whatever the blocks, and each only once."""
+    rng = np.random.default_rng(5)
+    sets = [rng.integers(0, 2**63, 60).astype(np.uint64) for _ in range(30)]
+    sets += [np.concatenate([s[1:], rng.integers(0, 2**63, 1).astype(np.uint64)]) for s in sets]
+    before = np.arange(len(sets) + 1) * 60
+    made = parity.bit_sketches(np.concatenate(sets), before)
+    known = spark.createDataFrame([(7, k, 0 if k % 30 < 8 else k) for k in range(60)], "key bigint, node bigint, component bigint")
+    sketches = spark.createDataFrame([(k, 60, bytearray(s)) for k, s in enumerate(made)], "node bigint, n bigint, sketch binary")
+    for block in (512, 7):
+        monkeypatch.setattr(parity, "BLOCK", block)
+        got = [(r["a"], r["b"]) for r in parity.across(known, sketches, 90, 100).collect()]
+        assert len(got) == len(set(got)) and {(k, k + 30) for k in range(8, 30)} <= set(got) and all(a < b for a, b in got)
+        assert all((a if a % 30 >= 8 else 0) != (b if b % 30 >= 8 else 0) for a, b in got)
