@@ -346,12 +346,21 @@ def groups(
     """Rows (id, mark, n, digest_a, digest_b) of all documents, and (n, digest_a, digest_b, component)
     of all sets that are not empty. ``by_id`` joins the sets of one id as well."""
     described = written(describe(docs, width, num, den, id_column, text), "described")
+    rows = written(described.select("id", "mark", *DIGEST), "rows")
+    named = rows.where(F.col("id").isNotNull() & (F.col("n") > 0)).withColumn("id", F.col("id").cast("bigint"))
+    ends = [F.struct(*[f(c).alias(c) for c in DIGEST]) for f in (F.min, F.max)]
+    several = named.groupBy("id").agg(ends[0].alias("x"), ends[1].alias("y")).where("x != y").select("id", F.lit(True).alias("several"))
+    # A set is known by its smallest id, which a star around a key's smallest node does well with; sets of
+    # an id that has several get numbers beyond all ids.
+    beyond = named.agg(F.max("id")).first()[0] or 0
+    number = F.monotonically_increasing_id()
+    node = F.when(F.col("several"), beyond + 1 + number).otherwise(F.col("w.id")) if beyond < 1 << 62 else number
     usable = described.where(F.col("id").isNotNull() & (F.col("n") > 0))
     # Copies fold before the shuffle; the set of the smallest id stays, with all it needs.
     whole = F.min(F.struct(F.col("id").cast("bigint").alias("id"), "mark", "n_keys", "keys", "sketch")).alias("w")
-    sets = written(usable.groupBy(*DIGEST).agg(whole).select(
-        F.monotonically_increasing_id().alias("node"), *DIGEST, "w.*"), "sets")
-    rows = written(described.select("id", "mark", *DIGEST), "rows")
+    folded = usable.groupBy(*DIGEST).agg(whole)
+    known_as = folded.join(several.withColumnRenamed("id", "of"), F.col("w.id") == F.col("of"), "left")
+    sets = written(known_as.select(node.alias("node"), *DIGEST, "w.*"), "sets")
     forget(described)
     slices = max(1, -(-(sets.agg(F.sum("n_keys")).first()[0] or 0) // SLICE))
     shared = written(shared_keys(sets, slices), "shared")
@@ -368,9 +377,7 @@ def groups(
     forget(shared)
     more = verified(inner, *rest_of)
     if by_id:
-        ends = [F.struct(*[f(c).alias(c) for c in DIGEST]) for f in (F.min, F.max)]
-        several = rows.where("n > 0 and id is not null").groupBy("id").agg(ends[0].alias("x"), ends[1].alias("y")).where("x != y").select("id")
-        texts = rows.where("n > 0").join(several, "id", "left_semi").join(sets.select("node", *DIGEST), DIGEST).select("id", "node")
+        texts = named.join(several, "id", "left_semi").join(sets.select("node", *DIGEST), DIGEST).select("id", "node")
         firsts = texts.groupBy("id").agg(F.min("node").alias("a"))
         more = more.union(texts.join(firsts, "id").where("node != a").select("a", F.col("node").alias("b")))
 
