@@ -12,7 +12,8 @@ Equal vectors are indexed once with their smallest ids, as many as can be needed
 with any number of copies costs no more than one; equal queries are searched once.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components
-take no part. Rows with equal ids count as different vectors of one id; a null id takes no part.
+take no part. Rows with equal ids are different rows: each is a query and a candidate of its own, and
+a query leaves out only its own row; a null id takes no part.
 Ties go to the smaller id. Fewer candidates than asked for are all returned. An empty table gives
 an empty table. Other columns play no part.
 """
@@ -151,15 +152,16 @@ class Tree:
         # Vectors lie leaf by leaf, so a leaf is a slice.
         order = np.concatenate(leaves)
         self.vectors, self.ids = vectors[order], [ids[k] for k in order]
+        self.raw = [v.tobytes() for v in self.vectors]
         self.norms, self.bounds = lengths(self.vectors), np.concatenate([[0], np.cumsum([len(leaf) for leaf in leaves])]).tolist()
 
-    def search(self, query: np.ndarray, point: np.ndarray, count: int, limit: float, worst: float) -> list[tuple[float, int]]:
-        """The best (cosine, id) of this part. ``worst``: a squared distance known to hold
-        ``count`` vectors elsewhere."""
+    def search(self, query: np.ndarray, point: np.ndarray, count: int, limit: float, worst: float) -> list[tuple[float, int, bool]]:
+        """The best (negative cosine, id, equal to the query) of this part. ``worst``: a squared distance
+        known to hold ``count`` vectors elsewhere."""
         gap = np.maximum(np.maximum(self.low - point, point - self.high), 0)
         apart = (gap * gap).sum(axis=1)
-        norm = float(lengths(query[None])[0])
-        best: list[tuple[float, int]] = []
+        norm, raw = float(lengths(query[None])[0]), query.tobytes()
+        best: list[tuple[float, int, bool]] = []
         order = np.argsort(apart, kind="stable")
         for k, far in zip(order.tolist(), apart[order].tolist()):
             if far > limit * worst:
@@ -170,7 +172,7 @@ class Tree:
             if len(near) > count:  # ties beyond the last are kept
                 near = near[found[near] >= np.partition(found[near], len(near) - count)[len(near) - count]]
             if len(near):
-                best += [(-float(found[x]), int(i)) for x in near for i in self.ids[a + x]]
+                best += [(-float(found[x]), int(i), self.raw[a + x] == raw) for x in near for i in self.ids[a + x]]
                 best = sorted(best)[:count]
                 if len(best) == count:
                     worst = min(worst, max(2 + 2 * best[-1][0], 0.0))
@@ -201,8 +203,8 @@ def matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype="<f8").reshape(len(column), -1)
 
 
-def best_of(rows: DataFrame, by: str, count: int, name: str = "rank") -> DataFrame:
-    window = Window.partitionBy(by).orderBy(F.desc("score"), "id")
+def best_of(rows: DataFrame, by: list[str], count: int, name: str = "rank") -> DataFrame:
+    window = Window.partitionBy(*by).orderBy(F.desc("score"), "id")
     return rows.withColumn(name, F.row_number().over(window)).where(F.col(name) <= count)
 
 
@@ -240,20 +242,20 @@ def search(
     wanted = asked.select("q").distinct()
 
     def look(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        rows: list[tuple[bytes, float, int]] = []
+        rows: list[tuple[bytes, float, int, bool]] = []
         if len(left) and len(right):
             tree = Tree(matrix(left["v"]), list(left["ids"]), cells)
             vectors = matrix(right["q"])
             for q, query, point, worst in zip(right["q"], vectors, cells.project(vectors), right["worst"]):
-                rows += [(q, -s, i) for s, i in tree.search(query, point, count + 1, limit, worst)]
-        return pd.DataFrame(rows, columns=["q", "score", "id"]).astype({"score": "float64", "id": "int64"})
+                rows += [(q, -s, i, same) for s, i, same in tree.search(query, point, count + 1, limit, worst)]
+        return pd.DataFrame(rows, columns=["q", "score", "id", "same"]).astype({"score": "float64", "id": "int64", "same": "bool"})
 
     def visit(visits: DataFrame) -> DataFrame:
         dealt = visits.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))).drop("parts")
-        return index.groupBy("cell", "part").cogroup(dealt.groupBy("cell", "part")).applyInPandas(look, "q binary, score double, id bigint")
+        return index.groupBy("cell", "part").cogroup(dealt.groupBy("cell", "part")).applyInPandas(look, "q binary, score double, id bigint, same boolean")
 
     at_home = wanted.mapInArrow(assign, "cell bigint, q binary").withColumn("worst", F.lit(4.5))
-    first = written(best_of(visit(at_home), "q", count + 1), "first").drop("rank")
+    first = written(best_of(visit(at_home), ["q"], count + 1), "first").drop("rank")
     reached = first.groupBy("q").agg(F.when(F.count("*") > count, F.greatest(2 - 2 * F.min("score"), F.lit(0.0))).otherwise(4.5).alias("worst"))
 
     def admit(batches):
@@ -269,6 +271,10 @@ def search(
 
     open_queries = wanted.join(reached, "q", "left").select("q", F.coalesce("worst", F.lit(4.5)).alias("worst"))
     rest = visit(open_queries.mapInArrow(admit, "cell bigint, q binary, worst double"))
-    found = best_of(first.unionByName(rest), "q", count + 1).drop("rank")
-    own = asked.join(found, "q").where(F.col("id") != F.col("query_id"))
-    return best_of(own, "query_id", count).select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
+    found = best_of(first.unionByName(rest), ["q"], count + 1).drop("rank")
+    # Of the rows with a query's id and vector one is the query's own. Equal rows have equal answers.
+    rows = asked.groupBy("query_id", "q").agg(F.count("*").alias("rows")).join(found, "q")
+    alike = F.row_number().over(Window.partitionBy("query_id", "q", "id", "same").orderBy("score"))
+    others = rows.withColumn("alike", alike).where(~(F.col("same") & (F.col("id") == F.col("query_id")) & (F.col("alike") == 1)))
+    nearest = best_of(others, ["query_id", "q"], count).withColumn("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "rows")))
+    return nearest.select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")

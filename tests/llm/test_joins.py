@@ -287,3 +287,26 @@ def test_one_large_key_is_dealt_in_blocks(spark, monkeypatch):
         got = [(r["a"], r["b"]) for r in parity.across(known, sketches, 90, 100).collect()]
         assert len(got) == len(set(got)) and {(k, k + 30) for k in range(8, 30)} <= set(got) and all(a < b for a, b in got)
         assert all((a if a % 30 >= 8 else 0) != (b if b % 30 >= 8 else 0) for a, b in got)
+
+
+def test_neighbours_by_row(spark):
+    """A query leaves out its own row alone; rows of one id are queries and candidates of their own."""
+    rows = [(50, [1.0, 0.0]), (50, [0.995, 0.1]), (1, [0.0, 1.0]), (2, [1.0, 0.3]), (2, [1.0, 0.3])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in neighbours.search(table, F.col("vec_id") % 50 == 0, count=3).collect():
+        got[r["query_id"], r["rank"]].append((r["id"], round(r["score"], 6)))
+    want = collections.defaultdict(list)
+    for k, (query, x) in enumerate(rows):
+        if query % 50 == 0:
+            near = sorted((-round(float(np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y)), 6), i) for j, (i, y) in enumerate(rows) if j != k)
+            for rank, (score, i) in enumerate(near[:3], 1):
+                want[query, rank].append((i, -score))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_neighbours_of_repeated_queries(spark):
+    """Repeated rows of one id are each other's nearest."""
+    table = spark.createDataFrame([(50, [1.0, 0.0]), (50, [1.0, 0.0]), (3, [1.0, 1.0])], "vec_id bigint, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["id"]) for r in neighbours.search(table, F.col("vec_id") == 50, count=5).collect())
+    assert got == [(50, 1, 50)] * 2 + [(50, 2, 3)] * 2
