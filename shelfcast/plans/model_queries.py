@@ -10,7 +10,7 @@ from shelfcast.functions.dates import iso_weekday
 from shelfcast.operators import features, forecast, models, prepare, timeseries, trees
 from shelfcast.operators.retrieve import rule_documents
 from shelfcast.plans import training
-from shelfcast.plans.registry import day_text, query
+from shelfcast.plans.registry import SPLIT_SQL, day_text, query, rounded, sql
 from shelfcast.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from shelfcast.session import shared_folder, written
 from shelfcast.sources.canonical import merged, sales, store, table
@@ -66,6 +66,16 @@ def rf_importance(spark, sf_dir):
     return models.importances(spark, model, fitted.feature_names)
 
 
+@query(sql(f"""select fold, count(*) as rows, round(avg(label),6) as mean_label, round(stddev_pop(label),6) as deviation from (
+ select ln(1+Sales::double) as label, {SPLIT_SQL} as split, cast(('0x' || substr(md5(concat(cast(Store as varchar), '|', cast(Date as varchar))),1,4)) as int) % 3 as fold from sales)
+ where split = 'train' group by fold"""))
+def cv_folds(spark, sf_dir):
+    """The folds that a search cross-validates on: rows, mean and deviation of the label."""
+    rows = models.with_fold(models.with_label(prepare.with_split(sales(spark, sf_dir)).where("split = 'train'")), 3)
+    return rounded(rows.groupBy("fold").agg(
+        F.count("*").alias("rows"), F.avg(models.LABEL).alias("mean_label"), F.stddev_pop(models.LABEL).alias("deviation")), "mean_label", "deviation")
+
+
 @query()
 def cv_grid(spark, sf_dir):
     """Cross-validated r2 of a small grid of two families."""
