@@ -170,11 +170,14 @@ def range_checks(first_year: int = 2013, last_year: int = 2026) -> dict[str, Col
     }
 
 
+def reasons(checks: dict[str, Column]) -> Column:
+    """The reasons for which a row fails."""
+    return F.array_compact(F.array(*[F.when(failed, F.lit(reason)) for reason, failed in checks.items()]))
+
+
 def with_reasons(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """Each row with the reasons it fails; an empty list marks a valid row."""
-    return df.withColumn(
-        "reasons", F.array_compact(F.array(*[F.when(failed, F.lit(reason)) for reason, failed in checks.items()]))
-    )
+    return df.withColumn("reasons", reasons(checks))
 
 
 def quarantine(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:

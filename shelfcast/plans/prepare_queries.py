@@ -212,3 +212,65 @@ def quarantine(spark, sf_dir):
     )
     checked = prepare.with_reasons(requests, prepare.request_checks(*_REQUEST_YEARS))
     return checked.select("store", "Date", F.array_join("reasons", "; ").alias("reasons"))
+
+
+# Every twelfth kind of request has a fault of its own, so that each reason occurs.
+_FAULTS = {
+    "store": ("bigint", "case k when 0 then -Store when 11 then 0 else Store end"),
+    "DayOfWeek": ("int", "case k when 1 then 8 else DayOfWeek end"),
+    "Date": ("string", "case k when 2 then '1996-13-45' when 3 then '1950-01-01' else day end"),
+    "open": ("int", "case k when 4 then 2 when 11 then null else Open end"),
+    "Promo": ("int", "case k when 5 then null else Promo end"),
+    "SchoolHoliday": ("int", "case k when 6 then -1 else SchoolHoliday end"),
+    "StateHoliday": ("string", "case when k <> 7 then StateHoliday end"),
+    "StoreType": ("string", "case when k <> 8 then StoreType end"),
+    "Assortment": ("string", "case when k <> 9 then Assortment end"),
+    "CompetitionDistance": ("double", "case when k <> 10 then CompetitionDistance end"),
+    "start_date": ("string", "case k when 2 then '1996-13-45' when 3 then '1950-01-01' else day end"),
+    "days": ("int", "case k when 5 then null else 1 + day_number % 33 end"),
+    "open_status": ("int", "case k when 4 then 2 when 11 then null else Open end"),
+    "promo_active": ("int", "case k when 6 then -1 else Promo end"),
+}
+_REFUSED_SQL = {
+    "store must be positive": "not coalesce(store > 0, false)",
+    "DayOfWeek must be 1 to 7": "not coalesce(DayOfWeek between 1 and 7, false)",
+    "Date must be yyyy-MM-dd": "try_cast(Date as date) is null",
+    "Date must be between 1990 and 2000": "year(try_cast(Date as date)) not between 1990 and 2000",
+    "open must be 0 or 1": "not coalesce(open between 0 and 1, false)",
+    "Promo must be 0 or 1": "not coalesce(Promo between 0 and 1, false)",
+    "SchoolHoliday must be 0 or 1": "not coalesce(SchoolHoliday between 0 and 1, false)",
+    "StateHoliday is missing": "StateHoliday is null", "StoreType is missing": "StoreType is null",
+    "Assortment is missing": "Assortment is null", "CompetitionDistance is missing": "CompetitionDistance is null",
+}
+_REFUSED_RANGE_SQL = {
+    "store must be positive": "not coalesce(store > 0, false)",
+    "start_date must be yyyy-MM-dd": "try_cast(start_date as date) is null",
+    "start_date must be between 1990 and 2000": "year(try_cast(start_date as date)) not between 1990 and 2000",
+    "days must be 1 to 30": "not coalesce(days between 1 and 30, false)",
+    "open_status must be 0 or 1": "not coalesce(open_status between 0 and 1, false)",
+    "promo_active must be 0 or 1": "not coalesce(promo_active between 0 and 1, false)",
+}
+
+
+def _refused_sql() -> str:
+    checks = {"day": _REFUSED_SQL, "range": _REFUSED_RANGE_SQL}
+    parts = [f"select '{kind}' as kind, '{reason}' as reason, count(*) as rows from requests where {failed}" for kind, of in checks.items() for reason, failed in of.items()]
+    parts += [f"select '{kind}', 'accepted', count(*) from requests where not coalesce({' or '.join(f'({failed})' for failed in of.values())}, false)"
+              for kind, of in checks.items()]
+    return f"select * from ({' union all '.join(parts)}) where rows > 0"
+
+
+@query(sql(_refused_sql(),
+           numbered="select *, cast(Date as varchar) as day, dayofyear(Date) as day_number, (Store + dayofyear(Date)) % 12 as k from merged",
+           requests=f"select {', '.join(f'{text} as {name}' for name, (_, text) in _FAULTS.items())} from numbered"))
+def refused_requests(spark, sf_dir):
+    """Requests for a day and for a range, faults of all kinds among them: rows refused for each reason
+    and rows accepted. Both kinds are checked in one pass over the requests."""
+    numbered = merged(spark, sf_dir).withColumns(
+        {"day": day_text(), "day_number": F.dayofyear("Date"), "k": (F.col("Store") + F.dayofyear("Date")) % 12})
+    requests = numbered.select(*[F.expr(text).cast(kind).alias(name) for name, (kind, text) in _FAULTS.items()])
+    checks = {"day": prepare.request_checks(1990, 2000), "range": prepare.range_checks(1990, 2000)}
+    found = [F.struct(F.lit(kind).alias("kind"), prepare.reasons(of).alias("reasons")) for kind, of in checks.items()]
+    either = F.when(F.size("reasons") == 0, F.array(F.lit("accepted"))).otherwise(F.col("reasons"))
+    return requests.select(F.inline(F.array(*found))).select("kind", F.explode(either).alias("reason")).groupBy("kind", "reason").agg(
+        F.count("*").alias("rows"))

@@ -1,8 +1,9 @@
 """Store-day sales and the store dimension, derived from the order tables.
 
 ``sales`` groups line items by (Store, Date), so it holds at most one row per store and
-calendar day however many line items a store has: partial aggregation folds a hot store
-before the shuffle, and a window over one store never sees more rows than there are days.
+calendar day however many line items a store has, and a window over one store never sees more
+rows than there are days. Counting orders deals the line items by (Store, Date, order) first, so a
+hot store is spread over all tasks; what is left of it is folded again before the second shuffle.
 """
 
 from __future__ import annotations
