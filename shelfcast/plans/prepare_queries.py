@@ -214,7 +214,7 @@ def quarantine(spark, sf_dir):
     return checked.select("store", "Date", F.array_join("reasons", "; ").alias("reasons"))
 
 
-# Every twelfth kind of request has a fault of its own, so that each reason occurs.
+# Twelve of fourteen requests have a fault of their own, so that each reason occurs.
 _FAULTS = {
     "store": ("bigint", "case k when 0 then -Store when 11 then 0 else Store end"),
     "DayOfWeek": ("int", "case k when 1 then 8 else DayOfWeek end"),
@@ -261,13 +261,13 @@ def _refused_sql() -> str:
 
 
 @query(sql(_refused_sql(),
-           numbered="select *, cast(Date as varchar) as day, dayofyear(Date) as day_number, (Store + dayofyear(Date)) % 12 as k from merged",
+           numbered="select *, cast(Date as varchar) as day, dayofyear(Date) as day_number, (Store + dayofyear(Date)) % 14 as k from merged",
            requests=f"select {', '.join(f'{text} as {name}' for name, (_, text) in _FAULTS.items())} from numbered"))
 def refused_requests(spark, sf_dir):
     """Requests for a day and for a range, faults of all kinds among them: rows refused for each reason
     and rows accepted. Both kinds are checked in one pass over the requests."""
     numbered = merged(spark, sf_dir).withColumns(
-        {"day": day_text(), "day_number": F.dayofyear("Date"), "k": (F.col("Store") + F.dayofyear("Date")) % 12})
+        {"day": day_text(), "day_number": F.dayofyear("Date"), "k": (F.col("Store") + F.dayofyear("Date")) % 14})
     requests = numbered.select(*[F.expr(text).cast(kind).alias(name) for name, (kind, text) in _FAULTS.items()])
     checks = {"day": prepare.request_checks(1990, 2000), "range": prepare.range_checks(1990, 2000)}
     found = [F.struct(F.lit(kind).alias("kind"), prepare.reasons(of).alias("reasons")) for kind, of in checks.items()]
