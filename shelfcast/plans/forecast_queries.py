@@ -229,6 +229,7 @@ def attribution_top5(spark, sf_dir):
     from shelfcast.operators import features, models
 
     rows = timeseries.with_production_lags(prepare.with_split(sales(spark, sf_dir))).na.drop(subset=["sales_lag_30"])
+    rows = written(rows.select("Store", "Date", "split", "Sales", *_WEIGHTS), "lag-rows")  # read for the scales, the fit and the latest days
     train = rows.where("split = 'train'")
     fitted = features.fit(train, _WEIGHTS, [])
     model = models.estimator("LinearRegression").fit(fitted.model.transform(models.with_label(train)))
