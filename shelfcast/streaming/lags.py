@@ -9,8 +9,11 @@ run over what is there now keeps all states.
 
 from __future__ import annotations
 
+import datetime as dt
+import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -33,12 +36,13 @@ class NewestDays(StatefulProcessor):
         self.days = handle.getValueState("days", "days array<int>, sales array<double>", self.forget_after)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = {}
-        if self.days.exists():
-            days, sales = self.days.get()
-            known = dict(zip(days, sales))
+        held = self.days.get()  # a call to the JVM; none if there is no state
+        known = dict(zip(*held)) if held else {}
         for block in rows:
-            days = (pd.to_datetime(block["Date"]) - pd.Timestamp(0)).dt.days
+            days = block["Date"].to_numpy().astype("datetime64[D]")
+            if np.isnat(days).any():
+                raise ValueError("sales without a day")
+            days = days.astype("int64")
             known.update(zip(days.tolist(), block["Sales"].astype("float64").tolist()))
             known = dict(sorted(known.items())[-self.held:])
         self.days.update((list(known), list(known.values())))
@@ -51,10 +55,10 @@ class NewestDays(StatefulProcessor):
 def latest_lags(store: int, known: dict[int, float]) -> pd.DataFrame:
     """The lags of the last day; null where the store has too few days."""
     sales = list(known.values())
-    row = {"Store": store, "Date": (pd.Timestamp(0) + pd.Timedelta(days=max(known))).date()}
-    row.update({f"sales_lag_{k}": sales[-1 - k] if len(sales) > k else None for k in LAGS})
-    row[f"sales_roll_mean_{MEAN_OVER}"] = sum(sales[-MEAN_OVER:]) / MEAN_OVER if len(sales) >= MEAN_OVER else None
-    return pd.DataFrame([row]).astype({c: "float64" for c in row if c not in ("Store", "Date")})
+    row = {"Store": [store], "Date": [dt.date(1970, 1, 1) + dt.timedelta(days=max(known))]}
+    row.update({f"sales_lag_{k}": [sales[-1 - k] if len(sales) > k else math.nan] for k in LAGS})
+    row[f"sales_roll_mean_{MEAN_OVER}"] = [sum(sales[-MEAN_OVER:]) / MEAN_OVER if len(sales) >= MEAN_OVER else math.nan]
+    return pd.DataFrame(row)
 
 
 def current_lags(days: DataFrame, held: int = max(LAGS) + 1, forget_after: int | None = None) -> DataFrame:
