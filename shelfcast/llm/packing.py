@@ -13,8 +13,6 @@ checksum; equal rows are interchangeable. Extra columns are dropped.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -22,64 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.columns import blocks, texts_only
+from shelfcast.llm.wordpieces import WordIds as WordIds
+from shelfcast.llm.wordpieces import run_ids
 from shelfcast.session import written
 
 WINDOW = 4096
 END_ID = 2
 BIN = 8192
-CACHED = 1 << 19
-
-
-class WordIds:
-    """Ids of whole words from a tokenizer file that drops white space, each word encoded once."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.words: dict[bytes, bytes] = {}
-        self.earlier: dict[bytes, bytes] = {}
-        lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("A") == "a"
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()] if lowers else None
-
-    def learn(self, words: list[bytes]) -> None:
-        for at in range(0, len(words), 20_000):
-            part = words[at:at + 20_000]
-            coded = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
-            ids, owner = np.array(coded.ids, dtype="<u4"), np.array(coded.word_ids, dtype=np.int64)
-            bounds = (4 * np.searchsorted(owner, np.arange(len(part) + 1))).tolist()
-            flat = ids.tobytes()
-            self.words.update((w, flat[bounds[k]:bounds[k + 1]]) for k, w in enumerate(part))
-
-    def fold(self, text: bytes) -> bytes:
-        """The text in lower case where the tokenizer makes no difference: it lowers letters
-        itself, but finds its special tokens before that."""
-        if self.special is None:
-            return text
-        low = text.lower()
-        return text if any(s in low for s in self.special) else low
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of every text as little-endian unsigned 32-bit integers. A tokenizer that drops
-        white space gives a text the ids of its words in order, so only unknown words cost."""
-        if len(self.words) > CACHED:
-            self.words, self.earlier = {}, self.words
-        split = [self.fold(t).split() for t in texts]
-        missing = set().union(*split).difference(self.words)
-        known = missing.intersection(self.earlier)
-        self.words.update((w, self.earlier[w]) for w in known)
-        missing -= known
-        if missing:
-            self.learn(list(missing))
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in split]
-
-
-@lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
 
 
 def pieces(
@@ -97,7 +44,7 @@ def pieces(
             for low, high, _, data, offsets in blocks(batch.column(1)):
                 bounds, flat = offsets.tolist(), data.tobytes()
                 rows: list[list] = [[], [], [], [], []]
-                for k, ids in enumerate(word_ids(path).encode([flat[a:b] for a, b in zip(bounds, bounds[1:])])):
+                for k, ids in enumerate(run_ids(path).encode([flat[a:b] for a, b in zip(bounds, bounds[1:])])):
                     ids += end
                     for at in range(0, len(ids), 4 * window):
                         part = ids[at:at + 4 * window]

@@ -1,4 +1,5 @@
-"""Word ids with a table of runs: letters, digits and marks as the tokenizer's pattern cuts them."""
+"""Ids of texts from tables of what was encoded before: of whole words, and of runs of letters, digits and
+marks as the tokenizer's pattern cuts them."""
 
 from __future__ import annotations
 
@@ -8,14 +9,60 @@ from functools import lru_cache
 import numpy as np
 import regex
 
-from shelfcast.llm.packing import WordIds
-
 # The tokenizer file's own pattern of what it encodes apart.
 RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LAST = "</w>"
 TOGETHER = 64
 BEYOND = 0x250   # characters below it, without the controls, change by lower case only
 CAREFUL = "İ\x85\xa0"  # but for these
+CACHED = 1 << 19
+
+
+class WordIds:
+    """Ids of whole words from a tokenizer file that drops white space, each word encoded once."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        self.words: dict[bytes, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
+        lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("A") == "a"
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()] if lowers else None
+
+    def learn(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), 20_000):
+            part = words[at:at + 20_000]
+            coded = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
+            ids, owner = np.array(coded.ids, dtype="<u4"), np.array(coded.word_ids, dtype=np.int64)
+            bounds = (4 * np.searchsorted(owner, np.arange(len(part) + 1))).tolist()
+            flat = ids.tobytes()
+            self.words.update((w, flat[bounds[k]:bounds[k + 1]]) for k, w in enumerate(part))
+
+    def fold(self, text: bytes) -> bytes:
+        """The text in lower case where the tokenizer makes no difference: it lowers letters
+        itself, but finds its special tokens before that."""
+        if self.special is None:
+            return text
+        low = text.lower()
+        return text if any(s in low for s in self.special) else low
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of every text as little-endian unsigned 32-bit integers. A tokenizer that drops
+        white space gives a text the ids of its words in order, so only unknown words cost."""
+        if len(self.words) > CACHED:
+            self.words, self.earlier = {}, self.words
+        split = [self.fold(t).split() for t in texts]
+        missing = set().union(*split).difference(self.words)
+        known = missing.intersection(self.earlier)
+        self.words.update((w, self.earlier[w]) for w in known)
+        missing -= known
+        if missing:
+            self.learn(list(missing))
+        get = self.words.__getitem__
+        return [b"".join(map(get, words)) for words in split]
 
 
 class RunIds(WordIds):
@@ -39,7 +86,7 @@ class RunIds(WordIds):
         self.runs_before: dict[str, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.runs) > 1 << 19:
+        if len(self.runs) > CACHED:
             self.runs, self.runs_before = {}, self.runs
         cut: list[list[str] | None] = []
         for text in texts:

@@ -1,3 +1,4 @@
+import types
 import zlib
 
 import numpy as np
@@ -5,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from shelfcast.llm import bpe, packing
+from shelfcast.llm import bpe, packing, wordpieces
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -99,3 +100,22 @@ def test_sequences_hold_the_ids(edge_docs):
     first = held.sort_values("length").iloc[-1]
     ids = np.frombuffer(rows[rows.sequence_id == first.sequence_id].ids.iloc[0], "<u4")
     assert zlib.crc32(ids[first.offset:first.offset + first.length].tobytes()) == first.ids_crc32
+
+
+def test_pieces_encode_runs_not_words(spark, monkeypatch):
+    asked = []
+    tables = wordpieces.RunIds(WORD)
+    learn = tables.learn_runs
+    monkeypatch.setattr(tables, "learn_runs", lambda runs: (asked.extend(runs), learn(runs)))
+    monkeypatch.setattr(packing, "run_ids", lambda path: tables)
+    texts = [*TEXTS, "<|ENDOFTEXT|> A <|startoftext|>B", "École It's ÉCOLE", "red-blue green-blue", "red-green blue-red"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    batch = docs.coalesce(1).toArrow().to_batches()
+    source = types.SimpleNamespace(schema=docs.schema, mapInArrow=lambda run, fields: run)
+    monkeypatch.setattr(packing, "texts_only", lambda *a: source)
+    library, got = Tokenizer.from_file(WORD), {}
+    for made in packing.pieces(docs, WORD)(batch):
+        got.update(zip(made.column(0).to_pylist(), made.column(3).to_pylist()))
+    for k, text in enumerate(texts):
+        assert np.frombuffer(got[k], "<u4").tolist() == [*library.encode(text, add_special_tokens=False).ids, packing.END_ID]
+    assert asked.count("red") == asked.count("blue") == 1 and "red-blue" not in asked
