@@ -24,6 +24,7 @@ empty table. A column named like a result is replaced by it.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -37,7 +38,7 @@ from shelfcast.llm import store
 from shelfcast.llm.columns import U, annotate, blocks, mix, owners, span_hashes, texts_only, word_spans
 from shelfcast.session import shared_folder
 
-FLUSH = 1 << 22  # tokens a task counts before it hands them on
+FLUSH = 1 << 21  # tokens a task counts before it hands them on
 WORD_SHARD = 1 << 22  # tokens for each shard of words, about
 PAIR_SHARD = 1 << 22  # tokens for each shard of pairs, about
 END = U(0x1D8E4E27C47D124F)
@@ -87,13 +88,15 @@ def joined(pdf: pd.DataFrame, column: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(pdf[column]), dtype=kind)
 
 
-def gathered(batches, texts_at: int):
-    """Token hashes of about FLUSH tokens at a time."""
+def gathered(batches, texts_at: int, count: Callable[[np.ndarray, np.ndarray], tuple]):
+    """What ``count(hashes, total)`` makes of each block, of about FLUSH tokens at a time. A block is
+    counted before the next is read, so a task holds what is different and not every token."""
     held, size = [], 0
     for batch in batches:
         for *_, data, offsets in blocks(batch.column(texts_at)):
-            held.append(token_hashes(data, offsets))
-            size += len(held[-1][0])
+            hashes, total = token_hashes(data, offsets)
+            held.append(count(hashes, total))
+            size += len(hashes)
             if size >= FLUSH:
                 yield held
                 held, size = [], 0
@@ -166,23 +169,42 @@ def numbers(hashes: np.ndarray, folder: str, shards: int, names: tuple[str, ...]
     return out
 
 
+def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hashes of pairs of word numbers."""
+    with np.errstate(over="ignore"):
+        return mix(mix(first.astype(U) + U(0x9E3779B97F4A7C15)) + second.astype(U) * U(0xD6E8FEB86659FD93))
+
+
 def pair_places(first: np.ndarray, second: np.ndarray, counts: np.ndarray, hot: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of pairs of word numbers, and the shard of each."""
+    key = pair_keys(first, second)
     with np.errstate(over="ignore"):
-        key = mix(mix(first.astype(U) + U(0x9E3779B97F4A7C15)) + second.astype(U) * U(0xD6E8FEB86659FD93))
         return key, (np.where(counts >= hot, key, mix(first.astype(U) ^ U(0x3C6EF372FE94F82B))) % U(shards)).astype(np.int64)
 
 
-def _pairs_in(held, folder: str, shards: int, start: int, documents: int):
-    """Word numbers of all pairs of the documents held, and the count of each first word."""
-    for hashes, total in held:
-        distinct, place = np.unique(hashes, return_inverse=True)
-        number, count = numbers(distinct, folder, shards, ("counts",))
-        number, count = number[place], count[place]
-        first, counted = np.empty_like(number), np.empty_like(count)
-        first[1:], counted[1:] = number[:-1], count[:-1]
-        first[total[:-1]], counted[total[:-1]] = start, documents
-        yield hashes, total, number, count, first, counted
+def _pairs_of(hashes: np.ndarray, total: np.ndarray, folder: str, shards: int, start: int, documents: int):
+    """Word numbers of all pairs of a block of documents, and the count of each first word."""
+    distinct, place = np.unique(hashes, return_inverse=True)
+    number, count = numbers(distinct, folder, shards, ("counts",))
+    number, count = number[place], count[place]
+    first, counted = np.empty_like(number), np.empty_like(count)
+    first[1:], counted[1:] = number[:-1], count[:-1]
+    first[total[:-1]], counted[total[:-1]] = start, documents
+    return first, number, counted
+
+
+def folded(held: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Different keys in order, the sums of their times, and the other columns: from such arrays of several
+    blocks. ``held`` is emptied, a column at a time, so that nothing is there twice for long."""
+    columns = [list(c) for c in zip(*held)]
+    held.clear()
+    keys, times, *others = (np.concatenate(columns.pop(0)) for _ in range(len(columns)))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    keys, times, rows = keys[heads], np.add.reduceat(times[order], heads, dtype=np.int64), order[heads]
+    del order, heads
+    return keys, times, *(others.pop(0)[rows] for _ in range(len(others)))
 
 
 def fit(docs: DataFrame, allowed: Column | None = None, id_column: str = "doc_id", text: str = "text") -> PairModel:
@@ -199,9 +221,9 @@ def fit(docs: DataFrame, allowed: Column | None = None, id_column: str = "doc_id
     texts = training.select(text)
 
     def count_words(batches):
-        for held in gathered(batches, 0):
-            words, counts = tally(np.concatenate([h for h, _ in held]))
-            yield batch_of(deal(shard_of(words, word_shards), word_shards, words, counts.astype(np.int64)), ["shard", "words", "counts"])
+        for held in gathered(batches, 0, lambda hashes, total: tally(hashes)):
+            words, counts = folded(held)
+            yield batch_of(deal(shard_of(words, word_shards), word_shards, words, counts), ["shard", "words", "counts"])
 
     def keep_words(key, pdf: pd.DataFrame) -> pd.DataFrame:
         words, counts = tally(joined(pdf, "words", U), joined(pdf, "counts", np.int64))
@@ -220,32 +242,27 @@ def fit(docs: DataFrame, allowed: Column | None = None, id_column: str = "doc_id
     width = np.dtype("<u4" if words < 2**32 - 1 else "<u8")
 
     def count_pairs(batches):
-        for held in gathered(batches, 0):
-            parts = [(f, n, c) for _, _, n, _, f, c in _pairs_in(held, folder, word_shards, words, documents)]
-            first, second, counted = (np.concatenate(p) for p in zip(*parts))
+        def count(hashes: np.ndarray, total: np.ndarray):
+            first, second, counted = _pairs_of(hashes, total, folder, word_shards, words, documents)
             key, place = pair_places(first, second, counted, hot, pair_shards)
-            order = np.argsort(key, kind="stable")
-            heads = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
-            times = np.diff(np.append(heads, len(order)))
+            key, at, times = np.unique(key, return_index=True, return_counts=True)
+            return key, times.astype(np.uint32), first[at].astype(width), second[at].astype(width), place[at].astype(np.int32)
+
+        for held in gathered(batches, 0, count):
+            _, times, first, second, place = folded(held)
             # A count is one byte; larger ones take several entries.
             copies = (times - 1) // 255 + 1
-            entry = np.repeat(order[heads], copies)
+            entry = np.repeat(np.arange(len(times)), copies)
             share = np.full(len(entry), 255, dtype=np.uint8)
             share[np.cumsum(copies) - 1] = times - 255 * (copies - 1)
-            yield batch_of(
-                deal(place[entry], pair_shards, first[entry].astype(width), second[entry].astype(width), share), ["shard", "first", "second", "times"])
+            yield batch_of(deal(place[entry], pair_shards, first[entry], second[entry], share), ["shard", "first", "second", "times"])
 
     def keep_pairs(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        first, second = joined(pdf, "first", width).astype(np.int64), joined(pdf, "second", width).astype(np.int64)
-        times = joined(pdf, "times", np.uint8).astype(np.int64)
-        hashes, _ = pair_places(first, second, np.zeros(1), hot, 1)
-        order = np.argsort(hashes, kind="stable")
-        hashes = hashes[order]
-        heads = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        counts = np.add.reduceat(times[order], heads)
-        store.save(folder, f"pairs-{key[0]}", hashes[heads])
+        first, second, times = joined(pdf, "first", width), joined(pdf, "second", width), joined(pdf, "times", np.uint8)
+        hashes, counts, first, second = folded([(pair_keys(first, second), times, first, second)])
+        store.save(folder, f"pairs-{key[0]}", hashes)
         store.save(folder, f"times-{key[0]}", counts.astype(np.min_scalar_type(int(counts.max()))))
-        first, second = first[order[heads]], second[order[heads]]
+        first, second = first.astype(np.int64), second.astype(np.int64)
         capped = np.minimum(counts, 3)
         after, kinds = tally(first * 4 + capped)
         before, different = tally(second)

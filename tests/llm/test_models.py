@@ -2,6 +2,7 @@ import collections
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -277,3 +278,26 @@ def test_sample_stops_at_a_total_length(spark):
     assert len(sample(docs, labels, "toxic", 40, 200)) == 40
     assert len(sample(docs, labels, "toxic", 40, 200, most_total=1000)) == 10
     assert len(sample(docs, labels, "toxic", 40, 200, most_total=50)) == 0
+
+
+def test_pair_counts_hold_what_is_different():
+    texts = pa.array([" ".join(words(random.Random(k % 40), 3000)) for k in range(400)])
+    batches = [pa.RecordBatch.from_arrays([texts], names=["text"])] * 2
+    tracemalloc.start()
+    found = [lm.folded(held) for held in lm.gathered(batches, 0, lambda hashes, total: lm.tally(hashes))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    found = lm.folded(found)
+    every = [h for held in lm.gathered(batches[:1], 0, lambda hashes, total: (hashes,)) for h, in held]
+    keys, times = lm.tally(np.concatenate(every))
+    assert times.sum() == 400 * 3001 and found[0].tolist() == keys.tolist() and found[1].tolist() == (2 * times).tolist()
+    # Whole blocks of hashes would be 8 bytes a token before anything is done with them, and were ten times that.
+    assert peak < 35e6, peak
+
+
+def test_folded_sums_and_empties():
+    a = (np.array([1, 3], dtype=lm.U), np.array([250, 1], dtype=np.uint8), np.array([7, 9]))
+    b = (np.array([1, 2], dtype=lm.U), np.array([250, 4], dtype=np.uint8), np.array([7, 8]))
+    held = [a, b]
+    keys, times, other = lm.folded(held)
+    assert (keys.tolist(), times.tolist(), other.tolist(), held) == ([1, 2, 3], [500, 4, 1], [7, 8, 9], [])
