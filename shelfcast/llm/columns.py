@@ -193,9 +193,9 @@ def blocks(texts: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, int, pa.A
 
 def annotate(
     df: DataFrame, function: Callable[[pa.Array, np.ndarray, np.ndarray], dict], fields: str, text: str = "text",
-    keep: list[str] | None = None,
+    keep: list[str] | None = None, limit: int = BLOCK,
 ) -> DataFrame:
-    """The rows with new columns that ``function(texts, data, offsets)`` computes for a block.
+    """The rows with new columns that ``function(texts, data, offsets)`` computes for a block of about ``limit`` bytes.
 
     ``keep`` names the columns to carry along (all by default). A new column replaces one of the
     same name, whatever its case. A column ``text`` that is no string is read as one.
@@ -208,7 +208,7 @@ def annotate(
 
     def run(batches):
         for batch in batches:
-            for low, high, texts, data, offsets in blocks(batch.column(batch.num_columns - 1)):
+            for low, high, texts, data, offsets in blocks(batch.column(batch.num_columns - 1), limit):
                 made = function(texts, data, offsets)
                 carried = [batch.column(i).slice(low, high - low) for i in range(len(kept))]
                 yield pa.RecordBatch.from_arrays(carried + [pa.array(made[f.name]) for f in new.fields], names=names)

@@ -25,6 +25,7 @@ from shelfcast.llm.labelled import sample
 
 ROWS, MOST_CHARS = 4000, 100_000
 THRESHOLD = 0.3
+BLOCK = 1 << 18  # bytes of text that are scored at once; a line has some 150 features of eight bytes
 
 _LETTERS = flags(bytes([*range(65, 91), *range(97, 123), *range(128, 256)]))
 _PLAIN = flags(bytes([*range(65, 91), *range(97, 123)]))
@@ -137,7 +138,7 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD, te
         scores = model.score(data, offsets)
         return {"score": scores, "predicted": (scores >= threshold).astype(np.int32)}
 
-    return annotate(docs, run, "score double, predicted int", text, keep)
+    return annotate(docs, run, "score double, predicted int", text, keep, BLOCK)
 
 
 def line_labels(text: str, model: QualityModel) -> list[tuple[str, float]]:

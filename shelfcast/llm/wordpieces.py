@@ -15,7 +15,7 @@ LAST = "</w>"
 TOGETHER = 64
 BEYOND = 0x250   # characters below it, without the controls, change by lower case only
 CAREFUL = "İ\x85\xa0"  # but for these
-CACHED = 1 << 19
+CACHED = 1 << 18  # entries; a worker keeps up to twice as many while it does other work
 
 
 class WordIds:

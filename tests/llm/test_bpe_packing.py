@@ -119,3 +119,14 @@ def test_pieces_encode_runs_not_words(spark, monkeypatch):
     for k, text in enumerate(texts):
         assert np.frombuffer(got[k], "<u4").tolist() == [*library.encode(text, add_special_tokens=False).ids, packing.END_ID]
     assert asked.count("red") == asked.count("blue") == 1 and "red-blue" not in asked
+
+
+def test_tables_of_runs_stay_small():
+    """A worker keeps its tables while it does other work."""
+    ids = wordpieces.RunIds(public_tokenizers.path("word_bpe_49k.json"))
+    letters = np.array(list("bcdfghklmnprstvz"))
+    for k in range(14):
+        codes = np.arange(k * 50_000, (k + 1) * 50_000)
+        runs = ["".join(x) for x in letters[(codes[:, None] >> np.arange(0, 20, 4)) & 15]]
+        ids.encode([" ".join(runs).encode()])
+    assert 50_000 <= len(ids.runs) + len(ids.runs_before) <= 2 * ((1 << 18) + 50_000)

@@ -301,3 +301,13 @@ def test_folded_sums_and_empties():
     held = [a, b]
     keys, times, other = lm.folded(held)
     assert (keys.tolist(), times.tolist(), other.tolist(), held) == ([1, 2, 3], [500, 4, 1], [7, 8, 9], [])
+
+
+def test_quality_scores_small_blocks(spark, make_text):
+    class Sized:
+        def score(self, data, offsets):
+            return np.full(len(offsets) - 1, float(len(data)))
+
+    docs = spark.createDataFrame([(k, make_text(k, 3000)) for k in range(60)], "doc_id bigint, text string").coalesce(1)
+    found = quality.score(docs, Sized()).toPandas()
+    assert len(found) == 60 and found["text"].str.len().sum() > 3 * quality.BLOCK and found["score"].max() <= quality.BLOCK
