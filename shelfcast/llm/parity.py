@@ -158,11 +158,26 @@ def describe(docs: DataFrame, width: int, num: int, den: int, id_column: str, te
         run, f"id {kind}, mark string, n bigint, digest_a bigint, digest_b bigint, n_keys bigint, keys binary, sketch binary")
 
 
+def packed_nodes(nodes: np.ndarray) -> tuple[int, int, bytes]:
+    """(first, width, steps) of ascending nodes: the steps between them as whole numbers of that many bytes.
+    Steps wrap round at 64 bits, so any nodes will do."""
+    steps = np.diff(nodes.view(U), prepend=nodes[:1].view(U))
+    kind = np.min_scalar_type(steps.max())
+    return int(nodes[0]), kind.itemsize, steps.astype(kind).tobytes()
+
+
+def unpacked_nodes(first: int, width: int, steps: bytes) -> np.ndarray:
+    made = np.cumsum(np.frombuffer(steps, dtype=f"u{width}"), dtype=U)
+    with np.errstate(over="ignore"):
+        return (made + np.array([first], dtype=np.int64).view(U)).view(np.int64)
+
+
 def shared_keys(sets: DataFrame, slices: int) -> DataFrame:
     """(key, node) of all keys that several nodes have, from rows (node, keys).
 
     A task hands on at most one entry for a key and its other entries as known to be shared,
-    spread over all slices; so a slice holds no more of one key than there are tasks' worth."""
+    spread over all slices; so a slice holds no more of one key than there are tasks' worth. Entries
+    of a slice go by node, so that a node is a small step from the one before and not a whole number."""
     def cut(batches):
         held, size = [], 0
         for batch in batches:
@@ -185,16 +200,18 @@ def shared_keys(sets: DataFrame, slices: int) -> DataFrame:
         followed[:-1] = again[1:]
         place = np.where(again, np.arange(len(keys)) % slices, (keys % U(slices)).astype(np.int64))
         state = (again * 2 + (followed & ~again)).astype(np.uint8)  # 2: known, only pass on; 1: known
-        order = np.argsort(place, kind="stable")
+        order = np.lexsort((nodes, place))
         bounds = np.searchsorted(place[order], np.arange(slices + 1))
-        rows = [(p, *(column[order[a:b]].tobytes() for column in (keys, nodes, state)))
+        rows = [(p, keys[order[a:b]].tobytes(), *packed_nodes(nodes[order[a:b]]), state[order[a:b]].tobytes())
                 for p, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+        kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array(column, kind) for column, kind in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
-            names=["slice", "keys", "nodes", "state"])
+            [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)],
+            names=["slice", "keys", "first", "width", "steps", "state"])
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, nodes, state = (np.frombuffer(b"".join(pdf[c]), dtype=d) for c, d in (("keys", U), ("nodes", np.int64), ("state", np.uint8)))
+        keys, state = (np.frombuffer(b"".join(pdf[c]), dtype=d) for c, d in (("keys", U), ("state", np.uint8)))
+        nodes = np.concatenate([unpacked_nodes(*row) for row in zip(pdf["first"], pdf["width"], pdf["steps"])])
         known = state == 2
         rest = np.flatnonzero(~known)
         order = rest[np.argsort(keys[rest], kind="stable")]
@@ -206,7 +223,8 @@ def shared_keys(sets: DataFrame, slices: int) -> DataFrame:
         kept = np.concatenate([np.flatnonzero(known), order[shared]])
         return pd.DataFrame({"key": keys[kept].view(np.int64), "node": nodes[kept]})
 
-    handed = sets.select(F.col("node").cast("bigint"), "keys").mapInArrow(cut, "slice int, keys binary, nodes binary, state binary")
+    handed = sets.select(F.col("node").cast("bigint"), "keys").mapInArrow(
+        cut, "slice int, keys binary, first bigint, width int, steps binary, state binary")
     return handed.groupBy("slice").applyInPandas(meet, "key bigint, node bigint")
 
 

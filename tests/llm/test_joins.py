@@ -310,3 +310,16 @@ def test_neighbours_of_repeated_queries(spark):
     table = spark.createDataFrame([(50, [1.0, 0.0]), (50, [1.0, 0.0]), (3, [1.0, 1.0])], "vec_id bigint, embedding array<double>")
     got = sorted((r["query_id"], r["rank"], r["id"]) for r in neighbours.search(table, F.col("vec_id") == 50, count=5).collect())
     assert got == [(50, 1, 50)] * 2 + [(50, 2, 3)] * 2
+
+
+def test_nodes_of_a_slice_are_handed_on_as_steps(spark):
+    for nodes in ([5], [7, 7, 7], [1, 3, 260, 1 << 40], [-(1 << 63), -3, 0, (1 << 63) - 1]):
+        first, width, steps = parity.packed_nodes(np.array(nodes, dtype=np.int64))
+        assert parity.unpacked_nodes(first, width, steps).tolist() == nodes
+    nodes = np.sort(np.random.default_rng(3).integers(0, 256410, 35000))  # a slice of one task's entries
+    assert len(parity.packed_nodes(nodes)[2]) <= 2 * len(nodes)
+    # Keys that several nodes have, whatever the order in which they come.
+    sets = {-9: [1, 2, 3], 4: [3, 5, 8], 70000: [1, 9], 1 << 61: [9, 3, 11], 12: [13]}
+    rows = [(node, np.array(keys, dtype=np.uint64).tobytes()) for node, keys in sets.items()]
+    got = parity.shared_keys(spark.createDataFrame(rows, "node bigint, keys binary").repartition(2), 3).collect()
+    assert sorted(tuple(r) for r in got) == sorted((k, n) for n, keys in sets.items() for k in keys if k in (1, 3, 9))
