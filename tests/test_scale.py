@@ -6,6 +6,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import VectorAssembler
 
 from shelfcast.operators import features, models, retrieve
 from shelfcast.plans import training
@@ -119,3 +120,27 @@ def test_state_of_a_store_is_asked_for_once():
     block = pd.DataFrame({"Store": 7, "Date": [dt.date(2024, 1, d) for d in (9, 2)], "Sales": [90, 20]})
     row = list(keeper.handleInputRows((7,), iter([block]), None))[0].iloc[0]
     assert row["Date"] == dt.date(2024, 1, 9) and row["sales_lag_1"] == 20 and np.isnan(row["sales_lag_7"]) and np.isnan(row["sales_roll_mean_7"])
+
+
+def test_random_search_draws_five_from_the_whole_space(spark, sf_dir, monkeypatch):
+    asked = []
+
+    def search(train, family, settings, folds=3, metric="r2", **fixed):
+        asked.append((family, settings, folds, metric, fixed))
+        raise StopIteration  # the fits take long
+
+    monkeypatch.setattr(models, "search", search)
+    with pytest.raises(StopIteration):
+        QUERIES["random_search"](spark, sf_dir)
+    family, settings, folds, metric, fixed = asked[0]
+    assert (family, folds, metric, fixed) == ("GradientBoosting", 2, "mse", {}) and len(settings) == 5
+    assert all(s in models.combinations_of(models.RANDOM_SPACE) for s in settings)
+
+
+def test_boosting_in_a_search_has_a_folder_for_checkpoints(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(models, "with_checkpoints", lambda session: asked.append(session))
+    rows = spark.range(60).selectExpr("id as Store", "date'2024-01-01' as Date", "double(id % 7) as x", "double(id % 7) as label")
+    train = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    models.search(train, "GradientBoosting", [{"maxIter": 2}], 2)
+    assert asked == [spark]
