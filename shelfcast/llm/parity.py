@@ -24,6 +24,8 @@ An empty table gives an empty table. Other columns play no part.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -36,6 +38,7 @@ from shelfcast.session import forget, written
 
 SLICE = 1 << 20  # keys in one hashed slice, about
 FLUSH = 1 << 21  # keys a task holds before it hands them on
+KEY = 6  # bytes of a key that travel: keys that meet by chance fail the check of their sets
 BLOCK = 512  # sets of a key that are compared with so many others in a task
 
 
@@ -132,30 +135,56 @@ def marked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return texts_only(docs, id_column, text).select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.md5(text).alias("mark"))
 
 
+def key_counts(sizes: np.ndarray, bands: Bands) -> np.ndarray:
+    """Number of keys of sets of these sizes, as ``segment_keys`` makes them."""
+    band = bands.of(np.maximum(sizes, 1))
+    return np.where(sizes > 0, bands.segments[band] + bands.segments[band + 1], 0)
+
+
 def describe(docs: DataFrame, width: int, num: int, den: int, id_column: str, text: str) -> DataFrame:
-    """(id, mark, n, digest_a, digest_b, n_keys, keys, sketch) of every document."""
+    """(id, mark, n, digest_a, digest_b, n_keys, sketch) of every document."""
     source = marked(docs, id_column, text)
     kind = source.schema[0].dataType.simpleString()
-    names = ["id", "mark", "n", "digest_a", "digest_b", "n_keys", "keys", "sketch"]
+    names = ["id", "mark", "n", "digest_a", "digest_b", "n_keys", "sketch"]
     bands = Bands(num, den)
 
     def run(batches):
         for batch in batches:
             for low, high, _, data, offsets in blocks(batch.column(1)):
                 members, before = shingle_sets(data, offsets, width)
-                keys, of_set = segment_keys(members, before, bands)
                 with np.errstate(over="ignore"):
                     digests = [np.diff(np.concatenate([[U(0)], np.cumsum(mix(members ^ salt), dtype=U)])[before]).view(np.int64)
                                for salt in (U(0x8CB92BA72F3D8DD7), U(0x7F4A7C159E3779B9))]
-                flat, bounds = keys.tobytes(), (8 * of_set).tolist()
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low), pa.array(np.diff(before), pa.int64()),
-                    *map(pa.array, digests), pa.array(np.diff(of_set), pa.int64()),
-                    pa.array([flat[a:b] for a, b in zip(bounds, bounds[1:])], pa.binary()), pa.array(bit_sketches(members, before), pa.binary())],
-                    names=names)
+                    *map(pa.array, digests), pa.array(key_counts(np.diff(before), bands), pa.int64()),
+                    pa.array(bit_sketches(members, before), pa.binary())], names=names)
+
+    return source.mapInArrow(run, f"id {kind}, mark string, n bigint, digest_a bigint, digest_b bigint, n_keys bigint, sketch binary")
+
+
+def texts_of(sets: DataFrame, docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(node, text) of sets (node, id, mark). A repeated row gives its node again."""
+    texts = marked(docs, id_column, text).withColumn("id", F.col("id").cast("bigint"))
+    return texts.join(sets.select("node", "id", "mark"), ["id", "mark"]).select("node", "text")
+
+
+def keys_of(width: int, num: int, den: int) -> Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray, np.ndarray]]]:
+    """Makes the keys of texts, block by block: rows from, rows to, the keys and their number before each
+    row. Keys are larger than a packed text, so they are made where they are dealt out and never stored."""
+    bands = Bands(num, den)
+
+    def made(texts: pa.Array):
+        for low, high, _, data, offsets in blocks(texts):
+            yield low, high, *segment_keys(*shingle_sets(data, offsets, width), bands)
+
+    return made
+
 
-    return source.mapInArrow(
-        run, f"id {kind}, mark string, n bigint, digest_a bigint, digest_b bigint, n_keys bigint, keys binary, sketch binary")
+def stored_keys(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The same from keys that are there already, as bytes."""
+    keys = [np.frombuffer(k, dtype=U) for k in column.to_pylist()]
+    yield 0, len(keys), np.concatenate([np.zeros(0, U), *keys]), np.concatenate([[0], np.cumsum([len(k) for k in keys], dtype=np.int64)])
 
 
 def packed_nodes(nodes: np.ndarray) -> tuple[int, int, bytes]:
@@ -172,21 +201,27 @@ def unpacked_nodes(first: int, width: int, steps: bytes) -> np.ndarray:
         return (made + np.array([first], dtype=np.int64).view(U)).view(np.int64)
 
 
-def shared_keys(sets: DataFrame, slices: int) -> DataFrame:
-    """(key, node) of all keys that several nodes have, from rows (node, keys).
+def shared_keys(sets: DataFrame, slices: int, keys: Callable = stored_keys) -> DataFrame:
+    """(key, node) of all keys that several nodes have, from rows of a node and what ``keys`` makes its keys of.
 
     A task hands on at most one entry for a key and its other entries as known to be shared,
     spread over all slices; so a slice holds no more of one key than there are tasks' worth. Entries
-    of a slice go by node, so that a node is a small step from the one before and not a whole number."""
+    of a slice go by node, so that a node is a small step from the one before and not a whole number.
+    A node that comes again has the same keys."""
     def cut(batches):
-        held, size = [], 0
+        held, size, seen = [], 0, set()
         for batch in batches:
-            keys = [np.frombuffer(k, dtype=U) for k in batch.column(1).to_pylist()]
-            held.append((np.concatenate(keys) if keys else np.zeros(0, U), np.repeat(batch.column(0).to_numpy(), [len(k) for k in keys])))
-            size += len(held[-1][0])
-            if size >= FLUSH:
-                yield hand_on(held)
-                held, size = [], 0
+            fresh = np.zeros(batch.num_rows, dtype=bool)
+            for row, node in enumerate(batch.column(0).to_pylist()):
+                fresh[row] = node not in seen
+                seen.add(node)
+            nodes, source = batch.column(0).to_numpy()[fresh], batch.column(1).filter(pa.array(fresh))
+            for low, high, made, before in keys(source):
+                held.append((made & U((1 << 8 * KEY) - 1), np.repeat(nodes[low:high], np.diff(before))))
+                size += len(made)
+                if size >= FLUSH:
+                    yield hand_on(held)
+                    held, size, seen = [], 0, set(nodes[high:].tolist())
         if size:
             yield hand_on(held)
 
@@ -202,7 +237,8 @@ def shared_keys(sets: DataFrame, slices: int) -> DataFrame:
         state = (again * 2 + (followed & ~again)).astype(np.uint8)  # 2: known, only pass on; 1: known
         order = np.lexsort((nodes, place))
         bounds = np.searchsorted(place[order], np.arange(slices + 1))
-        rows = [(p, keys[order[a:b]].tobytes(), *packed_nodes(nodes[order[a:b]]), state[order[a:b]].tobytes())
+        bare = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY]
+        rows = [(p, bare[order[a:b]].tobytes(), *packed_nodes(nodes[order[a:b]]), state[order[a:b]].tobytes())
                 for p, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
         kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays(
@@ -210,7 +246,10 @@ def shared_keys(sets: DataFrame, slices: int) -> DataFrame:
             names=["slice", "keys", "first", "width", "steps", "state"])
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, state = (np.frombuffer(b"".join(pdf[c]), dtype=d) for c, d in (("keys", U), ("state", np.uint8)))
+        bare, state = (np.frombuffer(b"".join(pdf[c]), dtype=np.uint8) for c in ("keys", "state"))
+        keys = np.zeros((len(state), 8), dtype=np.uint8)
+        keys[:, :KEY] = bare.reshape(-1, KEY)
+        keys = keys.view("<u8")[:, 0].astype(U)
         nodes = np.concatenate([unpacked_nodes(*row) for row in zip(pdf["first"], pdf["width"], pdf["steps"])])
         known = state == 2
         rest = np.flatnonzero(~known)
@@ -223,7 +262,7 @@ def shared_keys(sets: DataFrame, slices: int) -> DataFrame:
         kept = np.concatenate([np.flatnonzero(known), order[shared]])
         return pd.DataFrame({"key": keys[kept].view(np.int64), "node": nodes[kept]})
 
-    handed = sets.select(F.col("node").cast("bigint"), "keys").mapInArrow(
+    handed = sets.select(F.col(sets.columns[0]).cast("bigint"), sets.columns[1]).mapInArrow(
         cut, "slice int, keys binary, first bigint, width int, steps binary, state binary")
     return handed.groupBy("slice").applyInPandas(meet, "key bigint, node bigint")
 
@@ -326,7 +365,7 @@ def near_by_sketch(edges: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
 def verified(edges: DataFrame, sets: DataFrame, docs: DataFrame, width: int, num: int, den: int, id_column: str, text: str) -> DataFrame:
     """The pairs (a, b) that link: their sets are built again from the texts and intersected."""
     wanted = sets.join(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "id", "mark")
-    texts = marked(docs, id_column, text).withColumn("id", F.col("id").cast("bigint")).join(wanted, ["id", "mark"]).select("node", "text")
+    texts = texts_of(wanted, docs, id_column, text)
 
     def build(batches):
         for batch in batches:
@@ -375,15 +414,15 @@ def groups(
     node = F.when(F.col("several"), beyond + 1 + number).otherwise(F.col("w.id")) if beyond < 1 << 62 else number
     usable = described.where(F.col("id").isNotNull() & (F.col("n") > 0))
     # Copies fold before the shuffle; the set of the smallest id stays, with all it needs.
-    whole = F.min(F.struct(F.col("id").cast("bigint").alias("id"), "mark", "n_keys", "keys", "sketch")).alias("w")
+    whole = F.min(F.struct(F.col("id").cast("bigint").alias("id"), "mark", "n_keys", "sketch")).alias("w")
     folded = usable.groupBy(*DIGEST).agg(whole)
     known_as = folded.join(several.withColumnRenamed("id", "of"), F.col("w.id") == F.col("of"), "left")
     sets = written(known_as.select(node.alias("node"), *DIGEST, "w.*"), "sets")
     forget(described)
     slices = max(1, -(-(sets.agg(F.sum("n_keys")).first()[0] or 0) // SLICE))
-    shared = written(shared_keys(sets, slices), "shared")
     sketches = sets.select("node", "n", "sketch")
     rest_of = (sets, docs, width, num, den, id_column, text)
+    shared = written(shared_keys(texts_of(sets, docs, id_column, text), slices, keys_of(width, num, den)), "shared")
 
     centre = shared.groupBy("key").agg(F.min("node").alias("a"))
     stars = shared.join(centre, "key").where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")).distinct()

@@ -323,3 +323,22 @@ def test_nodes_of_a_slice_are_handed_on_as_steps(spark):
     rows = [(node, np.array(keys, dtype=np.uint64).tobytes()) for node, keys in sets.items()]
     got = parity.shared_keys(spark.createDataFrame(rows, "node bigint, keys binary").repartition(2), 3).collect()
     assert sorted(tuple(r) for r in got) == sorted((k, n) for n, keys in sets.items() for k in keys if k in (1, 3, 9))
+
+
+def test_keys_are_never_stored(spark, monkeypatch, make_text):
+    """Tables between the steps hold no keys of sets, whatever rows repeat; keys travel without their top bytes."""
+    tables, write = {}, parity.written
+    monkeypatch.setattr(parity, "written", lambda df, name: tables.setdefault(name, df.columns) and write(df, name))
+    a, b = make_text(41, 300), make_text(42, 300)
+    docs = spark.createDataFrame([(1, a), (1, a), (2, a + " more"), (3, b), (4, b)], "doc_id bigint, text string").repartition(2)
+    got = {(r["doc_id"], r["component_id"]) for r in parity.similar(docs).collect()}
+    assert got == {(1, 1), (2, 1), (3, 3), (4, 3)}
+    assert {"described", "sets", "shared"} <= set(tables) and not any("keys" in columns for columns in tables.values())
+    sets = [(1, np.array([5, (1 << 63) + 7], dtype=np.uint64)), (1, np.array([5, (1 << 63) + 7], dtype=np.uint64)), (2, np.array([7], dtype=np.uint64))]
+    rows = spark.createDataFrame([(node, keys.tobytes()) for node, keys in sets], "node bigint, keys binary").coalesce(1)
+    assert sorted(tuple(r) for r in parity.shared_keys(rows, 3).collect()) == [(7, 1), (7, 2)]
+    sizes = np.array([0, 1, 5, 80, 4000])
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    members = np.random.default_rng(2).integers(0, 2**63, before[-1]).astype(np.uint64)
+    bands = parity.Bands(80, 100)
+    assert parity.key_counts(sizes, bands).tolist() == np.diff(parity.segment_keys(members, before, bands)[1]).tolist()
