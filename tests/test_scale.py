@@ -144,3 +144,22 @@ def test_boosting_in_a_search_has_a_folder_for_checkpoints(spark, monkeypatch):
     train = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
     models.search(train, "GradientBoosting", [{"maxIter": 2}], 2)
     assert asked == [spark]
+
+
+def test_many_queries_do_not_pass_through_the_driver(spark, monkeypatch):
+    passed = []
+    frame = type(spark.range(1))
+    collect = frame.toPandas
+
+    def spy(df):
+        out = collect(df)
+        passed.append(len(out))
+        return out
+
+    monkeypatch.setattr(frame, "toPandas", spy)
+    monkeypatch.setattr(retrieve, "FEW", 11)
+    docs = spark.createDataFrame([(k, [float(k), 0.0]) for k in range(60)], "vec_id bigint, embedding array<double>")
+    for queries, most in ((11, 11), (50, 12)):
+        asked = docs.where(f"vec_id < {queries}").withColumnRenamed("vec_id", "query_id")
+        got = retrieve.nearest(asked, docs, 1, shard=100).select("query_id", "doc_id").collect()
+        assert sorted(tuple(r) for r in got) == [(k, k) for k in range(queries)] and passed.pop() <= most
