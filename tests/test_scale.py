@@ -7,10 +7,12 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
 
 from shelfcast.operators import features, models, retrieve
 from shelfcast.plans import training
 from shelfcast.plans.catalog import QUERIES
+from shelfcast.session import written
 from shelfcast.sources import files
 from shelfcast.streaming import lags
 
@@ -163,3 +165,62 @@ def test_many_queries_do_not_pass_through_the_driver(spark, monkeypatch):
         asked = docs.where(f"vec_id < {queries}").withColumnRenamed("vec_id", "query_id")
         got = retrieve.nearest(asked, docs, 1, shard=100).select("query_id", "doc_id").collect()
         assert sorted(tuple(r) for r in got) == [(k, k) for k in range(queries)] and passed.pop() <= most
+
+
+def vectors(spark, count, parts=1):
+    rows = spark.range(0, count, 1, parts).selectExpr(
+        "id % 50 as Store", "date_add(date'2024-01-01', int(id / 50)) as Date", "double(id % 7) as x", "double(hash(id) % 9) as y", "double(id % 7) + 1 as label")
+    return VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(rows).select("Store", "Date", "features", "label")
+
+
+def test_files_are_read_in_parts_by_rows_without_a_shuffle(spark):
+    table = written(vectors(spark, 5000), "vectors", 500)
+    assert len(table.inputFiles()) == 10
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with models.parts_by_rows(table, 500) as many:
+        assert many and spark.conf.get("spark.sql.files.maxPartitionBytes") != before
+        sizes = [n for n in table.select("*").rdd.glom().map(len).collect() if n]
+        assert models.spread(table, 500) is table and max(sizes) <= 1000 and sum(sizes) == 5000
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    with models.parts_by_rows(written(vectors(spark, 5000), "vectors"), 500) as many:  # one file, which may not be cut
+        assert not many
+    with models.parts_by_rows(vectors(spark, 5000), 500) as many:
+        assert not many
+    with models.parts_by_rows(table, 5000) as many:
+        assert not many and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+@pytest.mark.parametrize("family, settings", [("RandomForest", [{"maxDepth": 2}, {"maxDepth": 4}]), ("LinearRegression", [{"regParam": 0.5}, {"regParam": 0.0}])])
+def test_searches_hold_no_fold_in_memory(spark, monkeypatch, family, settings):
+    from pyspark.ml.tuning import CrossValidator
+
+    train = vectors(spark, 600, 2)
+    fixed = {"numTrees": 3} if family == "RandomForest" else {}
+    frame, cached = type(train), []
+    with monkeypatch.context() as patch:
+        for name in ("cache", "persist"):
+            patch.setattr(frame, name, lambda self, *a: cached.append(1))
+        found = models.search(train, family, settings, 2, **fixed)
+    assert not cached
+    validator = CrossValidator(
+        estimator=models.estimator(family, **fixed), numFolds=2, foldCol="fold", evaluator=models.RegressionEvaluator(metricName="r2"))
+    model = validator.getEstimator()
+    validator.setEstimatorParamMaps([{model.getParam(k): v for k, v in s.items()} for s in settings])
+    want = validator.fit(models.with_fold(train, 2).select("features", "label", "fold"))
+    assert found.avgMetrics == pytest.approx(want.avgMetrics) and found.stdMetrics == pytest.approx(want.stdMetrics)
+    assert models.search_scores(found, family)[0][2] == pytest.approx(want.avgMetrics[0])
+    new = train.limit(50)
+    assert [r[0] for r in found.bestModel.transform(new).select("prediction").collect()] == pytest.approx(
+        [r[0] for r in want.bestModel.transform(new).select("prediction").collect()])
+
+
+def test_recent_rows_hold_the_latest_of_every_store(spark):
+    from shelfcast.operators import timeseries
+
+    days = [(1, "2024-01-05", 1), (1, "2024-01-09", 2), (2, "2024-01-07", 3), (2, "2024-01-01", 4), (2, None, 5), (3, None, 6), (4, "2024-01-08", 7), (4, "2024-01-08", 8)]
+    rows = spark.createDataFrame(days, "Store int, Date string, x int").withColumn("Date", F.col("Date").cast("date"))
+    recent = timeseries.recent_rows(rows)
+    assert {r["x"] for r in recent.collect()} == {2, 3, 5, 6, 7, 8}
+    got, want = (sorted(map(tuple, timeseries.latest_per_store(df, ["x"]).collect()), key=str) for df in (recent, rows))
+    assert got == want and len(want) == 4
+    assert timeseries.latest_per_store(timeseries.recent_rows(rows.where("Store = 3")), ["x"]).first()["x"] == 6
